@@ -73,15 +73,16 @@ def running_totals(
     totals: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    ranges: int | None = None,
+    points: Sequence | None = None,
 ) -> DataFrame:
     """Add ``<c>_before``: the sum of ``c`` over the rows ordered earlier in the same ``by``.
 
     ``order`` must be unique within ``by``. A ``by`` group of any size is spread over the
-    ranges; the second window runs on one row per (group, range).
+    ranges; the second window runs on one row per (group, range). ``points`` are the range
+    borders where they are known beforehand.
     """
     by = list(by)
-    points = split_points(df, order, ranges)
+    points = split_points(df, order) if points is None else points
     tagged = df.withColumn("_range", range_of(F.col(order), points))
     direction = F.desc if descending else F.asc
     blocks = tagged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])
@@ -116,11 +117,11 @@ def number_rows(
     name: str,
     by: Sequence[str] = (),
     start: int = 0,
-    ranges: int | None = None,
+    points: Sequence | None = None,
 ) -> DataFrame:
     """Contiguous numbers along a unique ``order`` column, per ``by`` group if given."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    numbered = running_totals(ones, order, ["_one"], by, ranges=ranges)
+    numbered = running_totals(ones, order, ["_one"], by, points=points)
     return numbered.select(*df.columns, (F.col("_one_before") + F.lit(start)).cast("bigint").alias(name))
 
 
