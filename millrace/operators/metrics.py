@@ -37,7 +37,10 @@ def _cumulated(df: DataFrame, y: str, score: str, by: Sequence[str]) -> DataFram
     summed = running_totals(counts, score, ["positives", "negatives"], by, descending=True)
     totals = df.groupBy(*by).agg(F.count_if(F.col(y) == 1).alias("all_pos"),
                                  F.count_if(F.col(y) != 1).alias("all_neg"))
-    joined = summed.join(totals, list(by)) if by else summed.crossJoin(F.broadcast(totals))
+    if by:
+        joined = summed.join(totals, list(by))
+    else:
+        joined = summed.withColumns({c: F.lit(n) for c, n in totals.first().asDict().items()})
     return joined.withColumns({"tp": F.col("positives_before") + F.col("positives"),
                                "fp": F.col("negatives_before") + F.col("negatives")})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder every executor can reach, below ``spark.checkpoint.dir`` if that is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is not None:
+        return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
