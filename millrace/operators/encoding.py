@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.operators.aggregates import distinct_counts, small_levels
 from millrace.operators.ordered import number_rows
@@ -42,16 +42,28 @@ def onehot_low_cardinality(df: DataFrame, max_values: int) -> tuple[OneHotModel,
     return OneHotModel.fit(df, [c for c in texts if c in few]), [c for c in texts if c not in few]
 
 
+SMALL_LEVELS = 20_000
+"""Up to about this many distinct values are numbered by one sort in one task."""
+
+
+def _number(levels: DataFrame, size: int, order: str, start: int) -> DataFrame:
+    if size > SMALL_LEVELS:
+        return number_rows(levels, order, "code", start=start)
+    place = F.row_number().over(Window.orderBy(order)) - 1 + start
+    return levels.withColumn("code", place.cast("bigint"))
+
+
 def sorted_levels(df: DataFrame, column: str, start: int = 0) -> DataFrame:
     """(column, code): codes in sorted (byte) order of the distinct values."""
-    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return number_rows(levels, column, "code", start=start)
+    size = df.agg(F.approx_count_distinct(column)).first()[0]
+    return _number(df.select(column).where(F.col(column).isNotNull()).distinct(), size, column, start)
 
 
 def first_seen_levels(df: DataFrame, column: str, order: str, start: int = 0) -> DataFrame:
     """(column, code): codes in order of first appearance along a unique ``order``."""
+    size = df.agg(F.approx_count_distinct(column)).first()[0]
     first = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias("_first"))
-    return number_rows(first, "_first", "code", start=start).select(column, "code")
+    return _number(first, size, "_first", start).select(column, "code")
 
 
 def encode(df: DataFrame, levels: DataFrame, column: str, name: str, unseen: int | None = None) -> DataFrame:

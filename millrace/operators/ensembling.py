@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import log_loss_multiclass
-from millrace.operators.models import kept
+from millrace.operators.models import in_parallel, kept
 
 
 def average_runs(runs: DataFrame, key: str, score: str, run: str, denominator: str = "present") -> DataFrame:
@@ -36,12 +36,12 @@ def average_best_worst(runs: DataFrame, scores: DataFrame, key: str, run: str, v
 def seed_runs(train: DataFrame, test: DataFrame, make: Callable[[int], Estimator], key: str, runs: int,
               seed: int, increment: int, score) -> DataFrame:
     """(key, run, p): the same estimator fitted with seeds seed + i * increment."""
-    stacked = None
     with kept(train) as rows:
-        for i in range(1, runs + 1):
-            model = make(seed + i * increment).fit(rows)
-            part = model.transform(test).select(key, F.lit(i).alias("run"), score.alias("p"))
-            stacked = part if stacked is None else stacked.unionByName(part)
+        models = in_parallel(lambda i: make(seed + i * increment).fit(rows), range(1, runs + 1))
+    stacked = None
+    for i, model in enumerate(models, start=1):
+        part = model.transform(test).select(key, F.lit(i).alias("run"), score.alias("p"))
+        stacked = part if stacked is None else stacked.unionByName(part)
     return stacked
 
 
@@ -61,17 +61,16 @@ class Stack:
         """
         stacked = None
         with kept(df) as rows:
+            jobs = [(name, number) for number in range(self.folds) for name in self.candidates]
+            fitted = dict(zip(jobs, in_parallel(
+                lambda job: self.candidates[job[0]].fit(rows.where(F.col(fold) != job[1])), jobs)))
+            self.models = {name: [fitted[name, n] for n in range(self.folds)] for name in self.candidates}
             for number in range(self.folds):
-                train = rows.where(F.col(fold) != number)
-                for name, estimator in self.candidates.items():
-                    self.models.setdefault(name, []).append(estimator.fit(train))
                 part = self._score(rows.where(F.col(fold) == number).select(key, label, "features"),
                                    {name: [models[number]] for name, models in self.models.items()}, [key, label])
                 stacked = part if stacked is None else stacked.unionByName(part)
-            with kept(self._level_one(stacked)) as level_one:
-                self.blender = LogisticRegression(labelCol=label, maxIter=self.iterations).fit(level_one)
-                # read back while the inputs are still kept
-                level_one.count()
+            self.blender = LogisticRegression(labelCol=label, maxIter=self.iterations).fit(
+                self._level_one(stacked))
         return stacked
 
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import warnings
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,15 @@ def depth_of(wanted: int | None) -> int:
     return wanted
 
 
+def in_parallel(work, items: Sequence, parallelism: int = 4) -> list:
+    """Run independent fits side by side, so small jobs fill the cluster; order is kept."""
+    items = list(items)
+    if not items:
+        return []
+    with ThreadPool(min(parallelism, len(items))) as pool:
+        return pool.map(work, items)
+
+
 # classifiers
 
 def random_forest(trees: int, depth: int | None, seed: int, **options) -> RandomForestClassifier:
@@ -103,17 +113,16 @@ class ExtraTrees:
     def fit(self, df: DataFrame, features: Sequence[str], label: str = "label") -> ExtraTreesModel:
         bounds = df.agg(*[F.min(c).alias(f"low_{i}") for i, c in enumerate(features)],
                         *[F.max(c).alias(f"high_{i}") for i, c in enumerate(features)]).first()
-        draw = random.Random(self.seed)
-        members = []
+        binned = [f"_bin_{i}" for i in range(len(features))]
         with kept(df.select(*features, label)) as rows:
-            for number in range(self.trees):
+            def grow(number: int) -> PipelineModel:
+                draw = random.Random(self.seed + number)
                 splits = []
                 for i in range(len(features)):
                     low, high = float(bounds[f"low_{i}"]), float(bounds[f"high_{i}"])
                     inner = sorted({draw.uniform(low, high) for _ in range(self.cuts)})
                     splits.append([-float("inf"), *inner, float("inf")])
-                binned = [f"_bin_{i}" for i in range(len(features))]
-                members.append(Pipeline(stages=[
+                return Pipeline(stages=[
                     Bucketizer(inputCols=list(features), outputCols=binned, splitsArray=splits,
                                handleInvalid="error"),
                     VectorAssembler(inputCols=binned, outputCol="_bins"),
@@ -121,7 +130,9 @@ class ExtraTrees:
                         featuresCol="_bins", labelCol=label, numTrees=1, bootstrap=False,
                         featureSubsetStrategy="sqrt", maxDepth=self.depth, seed=self.seed + number,
                         rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction"),
-                ]).fit(rows))
+                ]).fit(rows)
+
+            members = in_parallel(grow, range(self.trees))
         return ExtraTreesModel(members, list(features))
 
 
@@ -153,17 +164,17 @@ class CalibratedSVM:
     def fit(self, train: DataFrame, held_out: DataFrame, label: str = "label") -> CalibratedSVMModel:
         with kept(train.select("features", label)) as rows:
             model = OneVsRest(labelCol=label, classifier=LinearSVC(
-                maxIter=self.iterations, regParam=self.reg)).fit(rows)
-        margins = [(m, f"_m{i}") for i, m in enumerate(model.models)]
-        sigmoids = []
-        for index, (member, _) in enumerate(margins):
-            scored = member.transform(held_out.select("features", label))
-            one = scored.select(
-                array_to_vector(F.array(F.get(vector_to_array("rawPrediction"), F.lit(1)))).alias("margin"),
-                (F.col(label) == index).cast("double").alias("is_class"))
-            fitted = LogisticRegression(featuresCol="margin", labelCol="is_class", maxIter=50).fit(one)
-            sigmoids.append((float(fitted.coefficients[0]), float(fitted.intercept)))
-        return CalibratedSVMModel([m for m, _ in margins], sigmoids)
+                maxIter=self.iterations, regParam=self.reg), parallelism=4).fit(rows)
+        with kept(held_out.select("features", label)) as held:
+            def calibrate(index: int) -> tuple[float, float]:
+                one = model.models[index].transform(held).select(
+                    array_to_vector(F.array(F.get(vector_to_array("rawPrediction"), F.lit(1)))).alias("margin"),
+                    (F.col(label) == index).cast("double").alias("is_class"))
+                fitted = LogisticRegression(featuresCol="margin", labelCol="is_class", maxIter=20).fit(one)
+                return float(fitted.coefficients[0]), float(fitted.intercept)
+
+            sigmoids = in_parallel(calibrate, range(len(model.models)))
+        return CalibratedSVMModel(list(model.models), sigmoids)
 
 
 class CalibratedSVMModel:
@@ -195,17 +206,18 @@ class PairwiseSVM:
         self.classes, self.c, self.iterations = classes, c, iterations
 
     def fit(self, df: DataFrame, label: str = "label") -> PairwiseSVMModel:
-        members = {}
         with kept(df.select("features", label)) as rows:
             sizes = {int(r[0]): r[1] for r in rows.groupBy(label).count().collect()}
-            for a, b in itertools.combinations(range(self.classes), 2):
-                n = sizes.get(a, 0) + sizes.get(b, 0)
-                if not sizes.get(a) or not sizes.get(b):
-                    continue
-                pair = rows.where(F.col(label).isin(a, b)).select(
-                    "features", (F.col(label) == b).cast("double").alias("label"))
+            pairs = [p for p in itertools.combinations(range(self.classes), 2) if all(sizes.get(k) for k in p)]
+
+            def fit_pair(pair):
+                chosen = rows.where(F.col(label).isin(*pair)).select(
+                    "features", (F.col(label) == pair[1]).cast("double").alias("label"))
                 # C weighs the summed hinge loss against the norm; regParam weighs its mean
-                members[a, b] = LinearSVC(maxIter=self.iterations, regParam=1.0 / (self.c * n)).fit(pair)
+                weight = 1.0 / (self.c * (sizes[pair[0]] + sizes[pair[1]]))
+                return LinearSVC(maxIter=self.iterations, regParam=weight).fit(chosen)
+
+            members = dict(zip(pairs, in_parallel(fit_pair, pairs)))
         return PairwiseSVMModel(members, self.classes)
 
 

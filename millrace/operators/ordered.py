@@ -8,13 +8,19 @@ every re-run of a task puts a row in the same range.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-EXACT_LIMIT = 200_000
-"""Distinct values one bracket may hold before it is narrowed again."""
+RANGES = 512
+"""Ranges a column is cut into when order statistics are looked up."""
+DIRECT_LIMIT = 50_000
+"""Up to this many values a column is put in order without cutting it first."""
+EXACT_LIMIT = 2_000_000
+"""Rows a wanted range may hold before its order is spread over tasks as well."""
 
 SAMPLE_PER_RANGE = 16
 
@@ -47,10 +53,21 @@ def split_points(df: DataFrame, column: str, ranges: int | None = None) -> list:
     return points
 
 
-def range_of(column: Column, points: Sequence) -> Column:
-    """Number of split points below the value, by binary search (nulls give 0)."""
+def tag_range(df: DataFrame, column: str, points: Sequence, name: str = "_range") -> DataFrame:
+    """Add the number of the range a value falls into; ranges keep the order of the values."""
     if not points:
-        return F.lit(0)
+        return df.withColumn(name, F.lit(0))
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        borders = [-float("inf"), *sorted({float(p) for p in points}), float("inf")]
+        if len(borders) > 3:
+            cut = Bucketizer(splits=borders, inputCol="_as_double", outputCol="_cut", handleInvalid="keep")
+            tagged = cut.transform(df.withColumn("_as_double", F.col(column).cast("double")))
+            return tagged.withColumn(name, F.col("_cut").cast("int")).drop("_as_double", "_cut")
+    return df.withColumn(name, _points_below(F.col(column), points))
+
+
+def _points_below(column: Column, points: Sequence) -> Column:
+    """Number of split points below a value of any ordered type, by binary search."""
     table = F.array(*[F.lit(p) for p in points])
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(points)).alias("hi"))
 
@@ -83,7 +100,7 @@ def running_totals(
     """
     by = list(by)
     points = split_points(df, order) if points is None else points
-    tagged = df.withColumn("_range", range_of(F.col(order), points))
+    tagged = tag_range(df, order, points)
     direction = F.desc if descending else F.asc
     blocks = tagged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])
     earlier_blocks = (
@@ -131,93 +148,70 @@ def order_statistics(
     """Exact values at 0-based ranks of several numeric columns, nulls left out.
 
     ``ranks[c]`` maps the number of known values of ``c`` to the ranks wanted. The result
-    holds, per column, that number and the values as doubles. Each rank is closed in by approximate
-    percentiles; only the values inside the bracket, at most ``EXACT_LIMIT`` distinct ones,
-    are put in order. Brackets that hold more are narrowed again.
+    holds, per column, that number and the values as doubles. All columns share three jobs:
+    approximate percentiles cut each column into ranges, the rows per range are counted, and
+    only the ranges that hold a wanted rank are put in order, as (value, count) pairs.
     """
-    sizes = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(ranks)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(ranks)],
-    ).first()
-    counts = {c: sizes[f"n_{i}"] for i, c in enumerate(ranks)}
-    # one open bracket per (column, rank): [column, rank, low, high, rows below low, distinct]
-    brackets = []
-    for i, (c, wanted) in enumerate(ranks.items()):
-        if counts[c]:
-            for rank in sorted(set(wanted(counts[c]))):
-                brackets.append([c, rank, None, None, 0, sizes[f"d_{i}"], counts[c]])
-
-    def inside(b) -> Column:
-        test = F.col(b[0]).isNotNull()
-        if b[2] is not None:
-            test = test & (F.col(b[0]) >= F.lit(b[2])) & (F.col(b[0]) <= F.lit(b[3]))
-        return test
-
-    while True:
-        wide = [b for b in brackets if b[5] > EXACT_LIMIT]
-        if not wide:
-            break
-        found = df.agg(*[
-            F.percentile_approx(
-                F.when(inside(b), F.col(b[0])),
-                [max(0.0, (b[1] - b[4]) / b[6] - 2e-4), min(1.0, (b[1] - b[4] + 1) / b[6] + 2e-4)],
-                20_000).alias(f"q_{i}")
-            for i, b in enumerate(wide)]).first()
-        trial = [[*b[:2], *found[f"q_{i}"], *b[4:]] for i, b in enumerate(wide)]
-        sized = df.agg(
-            *[F.count_if(F.col(t[0]) < F.lit(t[2])).alias(f"below_{i}") for i, t in enumerate(trial)],
-            *[F.count_if(inside(t)).alias(f"in_{i}") for i, t in enumerate(trial)],
-            *[F.approx_count_distinct(F.when(inside(t), F.col(t[0]))).alias(f"d_{i}")
-              for i, t in enumerate(trial)],
-        ).first()
-        moved = False
-        for i, (b, t) in enumerate(zip(wide, trial)):
-            below, rows, distinct = sized[f"below_{i}"], sized[f"in_{i}"], sized[f"d_{i}"]
-            if below <= b[1] < below + rows and rows < b[6]:
-                b[2:] = [t[2], t[3], below, distinct, rows]
-                moved = True
-        if not moved:
-            # The estimates no longer help: order every remaining bracket range by range.
-            break
-
-    result = {c: (counts[c], []) for c in ranks}
-    if not brackets:
-        return result
-    spans = {}
-    for b in brackets:
-        spans.setdefault((b[0], b[2], b[3]), b)
-    keys = list(spans)
-    entries = F.array(*[
-        F.when(inside(spans[key]),
-               F.struct(F.lit(i).alias("span"), F.col(key[0]).cast("double").alias("v")))
-        for i, key in enumerate(keys)])
-    histogram = (
-        df.select(F.explode(F.array_compact(entries)).alias("e"))
-        .groupBy("e.span", "e.v").agg(F.count("*").alias("n"))
-    )
-    if any(b[5] > EXACT_LIMIT for b in brackets):
-        summed = running_totals(histogram, "v", ["n"], by=["span"])
+    names = list(ranks)
+    shares = [i / RANGES for i in range(1, RANGES)]
+    first = df.agg(
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(names)],
+        *[F.percentile_approx(F.col(c).cast("double"), shares, 10 * RANGES).alias(f"q_{i}")
+          for i, c in enumerate(names)]).first()
+    counts = {c: first[f"n_{i}"] for i, c in enumerate(names)}
+    wanted = {c: list(ranks[c](counts[c])) if counts[c] else [] for c in names}
+
+    doubles = df.select([F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(names)])
+    for i, c in enumerate(names):
+        large = counts[c] > DIRECT_LIMIT
+        doubles = tag_range(doubles, f"_v{i}", sorted(set(first[f"q_{i}"])) if large else [], f"_r{i}")
+    spans = [F.when(F.col(f"_v{i}").isNotNull(), F.struct(
+        F.lit(i).alias("span"), F.col(f"_r{i}").alias("range"), F.col(f"_v{i}").alias("v")))
+        for i in range(len(names))]
+    rows = doubles.select(F.explode(F.array_compact(F.array(*spans))).alias("e")).select("e.*")
+
+    before: dict[tuple[int, int], int] = {}
+    sizes: dict[tuple[int, int], int] = {}
+    if any(counts[c] > DIRECT_LIMIT for c in names):
+        running: dict[int, int] = {}
+        for span, part, n in sorted(tuple(r) for r in rows.groupBy("span", "range").count().collect()):
+            before[span, part], sizes[span, part] = running.get(span, 0), n
+            running[span] = running.get(span, 0) + n
+    else:
+        for i, c in enumerate(names):
+            before[i, 0], sizes[i, 0] = 0, counts[c]
+
+    targets: dict[tuple[int, int], list[int]] = {}
+    for i, c in enumerate(names):
+        for rank in sorted(set(wanted[c])):
+            cell = next(k for k in before if k[0] == i and before[k] <= rank < before[k] + sizes[k])
+            targets.setdefault(cell, []).append(rank - before[cell])
+    if not targets:
+        return {c: (counts[c], []) for c in names}
+
+    def any_of(tests: list[Column]) -> Column:
+        return functools.reduce(lambda a, b: a | b, tests)
+
+    inside = any_of([(F.col("span") == s) & F.col("range").isin([r for t, r in targets if t == s])
+                     for s in {k[0] for k in targets}])
+    histogram = rows.where(inside).groupBy("span", "range", "v").agg(F.count("*").alias("n"))
+    if max(sizes[k] for k in targets) > EXACT_LIMIT:
+        summed = running_totals(histogram, "v", ["n"], by=["span", "range"])
     else:
-        earlier = Window.partitionBy("span").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        earlier = Window.partitionBy("span", "range").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
         summed = histogram.withColumn("n_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    wanted = F.lit(False)
-    for b in brackets:
-        place = b[1] - b[4]
-        wanted = wanted | (
-            (F.col("span") == keys.index((b[0], b[2], b[3])))
-            & (F.col("n_before") <= place) & (F.col("n_before") + F.col("n") > place))
-    rows = summed.where(wanted).collect()
+    found = summed.where(any_of([
+        (F.col("span") == span) & (F.col("range") == part)
+        & any_of([(F.col("n_before") <= p) & (F.col("n_before") + F.col("n") > p) for p in places])
+        for (span, part), places in targets.items()])).collect()
     values = {}
-    for b in brackets:
-        place = b[1] - b[4]
-        for row in rows:
-            if row["span"] == keys.index((b[0], b[2], b[3])) and \
-                    row["n_before"] <= place < row["n_before"] + row["n"]:
-                values[b[0], b[1]] = row["v"]
-    for c, wanted_ranks in ranks.items():
-        if counts[c]:
-            result[c][1].extend(values[c, rank] for rank in wanted_ranks(counts[c]))
-    return result
+    for (span, part), places in targets.items():
+        for row in found:
+            if (row["span"], row["range"]) == (span, part):
+                for p in places:
+                    if row["n_before"] <= p < row["n_before"] + row["n"]:
+                        values[names[span], before[span, part] + p] = row["v"]
+    return {c: (counts[c], [values[c, rank] for rank in wanted[c]]) for c in names}
 
 
 def quantiles(df: DataFrame, shares: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import prefix_token
 from millrace.operators.encoding import sorted_levels
-from millrace.operators.relational import hot_split_join
 
 
 def stack_tokens(blocks: Sequence[tuple[DataFrame, str, str]], key: str) -> DataFrame:
@@ -31,7 +30,7 @@ def index_triples(tokens: DataFrame, key: str) -> DataFrame:
     counted = tokens.groupBy(key, "feature").agg(F.count("*").alias("n"))
     rows = sorted_levels(tokens, key).withColumnRenamed("code", "row")
     columns = sorted_levels(tokens, "feature").withColumnRenamed("code", "col")
-    return hot_split_join(counted.join(rows, key), columns, ["feature"], "inner").select(key, "row", "col", "n")
+    return counted.join(rows, key).join(columns, "feature").select(key, "row", "col", "n")
 
 
 def offset_blocks(blocks: Sequence[tuple[str, DataFrame, int]], key: str) -> DataFrame:

@@ -6,7 +6,6 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 from statistics import mean, pstdev
 
 from pyspark.ml import Estimator, Model
@@ -14,8 +13,8 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.metrics import AreaEvaluator, mean_roc
-from millrace.operators.models import kept, positive_probability
+from millrace.operators.metrics import mean_roc, roc_auc
+from millrace.operators.models import in_parallel, kept, positive_probability
 
 
 def grid(choices: Mapping[object, Sequence]) -> list[dict]:
@@ -67,14 +66,14 @@ def search(df: DataFrame, estimator: Estimator, candidates: Sequence[dict], eval
     candidates train at the same time on the cluster.
     """
     scores: list[list[float]] = [[] for _ in candidates]
-    with kept(df) as rows, ThreadPool(min(parallelism, len(candidates))) as pool:
+    with kept(df) as rows:
         for number in range(folds):
             held = rows.where(F.col(fold) == number)
             with kept(rows.where(F.col(fold) != number)) as train:
                 def run(params, train=train, held=held):
                     return float(evaluator.evaluate(estimator.fit(train, params).transform(held)))
 
-                for i, score in enumerate(pool.map(run, candidates)):
+                for i, score in enumerate(in_parallel(run, candidates, parallelism)):
                     scores[i].append(score)
         means = [mean(s) for s in scores]
         pick = max if evaluator.isLargerBetter() else min
@@ -84,38 +83,42 @@ def search(df: DataFrame, estimator: Estimator, candidates: Sequence[dict], eval
 
 def fold_scores(df: DataFrame, estimator: Estimator, evaluator: Evaluator, fold: str, folds: int):
     """[(fold, score, model)]: each fold scored by a model fitted on the others; all models kept."""
-    result = []
     with kept(df) as rows:
-        for number in range(folds):
+        def run(number: int):
             model = estimator.fit(rows.where(F.col(fold) != number))
             score = evaluator.evaluate(model.transform(rows.where(F.col(fold) == number)))
-            result.append((number, float(score), model))
-    return result
+            return number, float(score), model
+
+        return in_parallel(run, range(folds))
 
 
 def train_best_fold(df: DataFrame, estimator: Estimator, key: str, label: str, fold: str, folds: int):
-    """(best model by AUC on its own held-out fold, fold scores, mean ROC curve)."""
-    parts = None
-    scores = []
+    """(best model by AUC on its own held-out fold, fold scores, mean ROC curve).
+
+    The held-out scores of all folds are stacked, so all areas come from one job.
+    """
     with kept(df) as rows:
-        for number in range(folds):
-            model = estimator.fit(rows.where(F.col(fold) != number))
+        models = in_parallel(lambda n: estimator.fit(rows.where(F.col(fold) != n)), range(folds))
+        parts = None
+        for number, model in enumerate(models):
             scored = model.transform(rows.where(F.col(fold) == number)).select(
                 key, label, fold, positive_probability().alias("score"))
-            scores.append((number, AreaEvaluator(label, "score").evaluate(scored), model))
             parts = scored if parts is None else parts.unionByName(scored)
-        curve = mean_roc(parts, fold, label, "score").collect()
-    best = max(scores, key=lambda s: s[1])
-    return best[2], [(n, s) for n, s, _ in scores], curve
+        with kept(parts) as held:
+            areas = {row[fold]: row["auc"] for row in roc_auc(held, label, "score", [fold]).collect()}
+            curve = mean_roc(held, fold, label, "score").collect()
+    best = max(range(folds), key=areas.__getitem__)
+    return models[best], sorted(areas.items()), curve
 
 
 def compare(train: DataFrame, valid: DataFrame, candidates: Mapping[str, Estimator], evaluator: Evaluator):
     """[(name, score, model)], best first by the evaluator's direction."""
     with kept(train) as rows, kept(valid) as held:
-        scored = []
-        for name, estimator in candidates.items():
-            model = estimator.fit(rows)
-            scored.append((name, float(evaluator.evaluate(model.transform(held))), model))
+        def run(item):
+            model = item[1].fit(rows)
+            return item[0], float(evaluator.evaluate(model.transform(held))), model
+
+        scored = in_parallel(run, list(candidates.items()))
     return sorted(scored, key=lambda s: s[1], reverse=evaluator.isLargerBetter())
 
 
@@ -139,12 +142,13 @@ def slice_features(df: DataFrame, features: Sequence[str], wanted: Sequence[str]
 
 def boosting_rounds(df: DataFrame, booster: Estimator, fold: str, folds: int, loss: str | None = None):
     """(best number of rounds, mean held-out loss per round) over the folds."""
-    curves = []
     with kept(df) as rows:
-        for number in range(folds):
+        def run(number: int) -> list[float]:
             model = booster.fit(rows.where(F.col(fold) != number))
             held = rows.where(F.col(fold) == number)
-            curves.append(model.evaluateEachIteration(held, loss) if loss else model.evaluateEachIteration(held))
+            return model.evaluateEachIteration(held, loss) if loss else model.evaluateEachIteration(held)
+
+        curves = in_parallel(run, range(folds))
     length = min(len(c) for c in curves)
     means = [sum(c[i] for c in curves) / len(curves) for i in range(length)]
     return min(range(length), key=means.__getitem__) + 1, means

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.scalars import round_half_even
-from millrace.operators.ordered import order_statistics, range_of, split_points
+from millrace.operators.ordered import order_statistics, split_points, tag_range
 
 
 def value_gaps(values: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
@@ -18,7 +18,7 @@ def value_gaps(values: DataFrame, column: str, by: Sequence[str] = ()) -> DataFr
     """
     by = list(by)
     distinct = values.select(*by, column).where(F.col(column).isNotNull()).distinct()
-    tagged = distinct.withColumn("_range", range_of(F.col(column), split_points(values, column)))
+    tagged = tag_range(distinct, column, split_points(values, column))
     tops = tagged.groupBy(*by, "_range").agg(F.max(column).alias("_top"))
     below = tops.select(
         *[F.col(b).alias(f"_by_{b}") for b in by], F.col("_range").alias("_block"),

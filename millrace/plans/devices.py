@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import concat_key, round_half_even
 from millrace.operators import aggregates as A, encoding as E, sparse as P
-from millrace.operators.relational import hot_split_join
+from millrace.session import cut_lineage
 
 HOURS = list(range(24))
 
@@ -96,18 +96,19 @@ def sparse_blocks(people: DataFrame, events: DataFrame, event_apps: DataFrame, a
                   device: str, event: str, app: str, label: str, brand: str, model: str) -> DataFrame:
     """(device, block, col) of the brand, model, app and label blocks, side by side."""
     composite = people.select(device, F.col(brand).alias("_brand"), concat_key(brand, model).alias("_model"))
-    device_apps = (event_apps.select(event, app).distinct()
-                   .join(events.select(event, device), event).select(device, app).distinct())
+    # read by several blocks and their level tables, so computed once
+    device_apps = cut_lineage(event_apps.select(event, app).distinct()
+                              .join(events.select(event, device), event).select(device, app).distinct())
     used_labels = app_labels.select(app, label).distinct().join(
-        event_apps.select(app).distinct(), app, "left_semi")
+        device_apps.select(app).distinct(), app, "left_semi")
     device_labels = device_apps.join(used_labels, app).select(device, label).distinct()
 
     blocks = []
     for name, pairs, column, universe in [
             ("brand", composite, "_brand", composite), ("model", composite, "_model", composite),
-            ("app", device_apps, app, event_apps), ("label", device_labels, label, used_labels)]:
+            ("app", device_apps, app, device_apps), ("label", device_labels, label, used_labels)]:
         levels = E.sorted_levels(universe, column)
         wanted = pairs.select(device, column).join(people.select(device).distinct(), device, "left_semi")
-        coded = hot_split_join(wanted.where(F.col(column).isNotNull()), levels, [column], "inner")
+        coded = wanted.where(F.col(column).isNotNull()).join(levels, column)
         blocks.append((name, coded.select(device, F.col("code").alias("col")), levels.count()))
     return P.offset_blocks(blocks, device)

@@ -17,9 +17,13 @@ BATCH_ROWS = 50_000
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Even partitions after a scan of files that cannot be split (gzip, zip archives)."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+    """Even partitions after a scan with fewer splits than the cluster has cores.
+
+    Meant for files that cannot be split (gzip, zip archives, single row groups) and for scans
+    followed by heavy work per row; a scan that already fills the cluster is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

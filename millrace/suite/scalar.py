@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
+from millrace.sources.readers import spread
 from millrace.suite.projections import NULL_ORDERS, null_price, null_text
 from millrace.suite.registry import Tables, query
 
@@ -107,7 +108,7 @@ def bucket_col_name(t: Tables):
 @query("split_explode_tokens", """select token, count(*) as n, count(distinct doc_id) as docs
     from (select doc_id, unnest(string_split(text, ' ')) as token from documents) group by token""")
 def split_explode_tokens(t: Tables):
-    tokens = t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("token"))
+    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.split("text", " ")).alias("token"))
     per_document = tokens.groupBy("token", "doc_id").agg(F.count("*").alias("k"))
     return per_document.groupBy("token").agg(F.sum("k").alias("n"), F.count("*").alias("docs"))
 
@@ -116,7 +117,8 @@ def split_explode_tokens(t: Tables):
     len(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')))::integer as n_words
     from documents""")
 def tokenize_binary(t: Tables):
-    return t.documents.select("doc_id", F.size(S.word_set("text")).alias("n_words"))
+    documents = spread(t.documents.select("doc_id", "text"))
+    return documents.select("doc_id", F.size(S.word_set("text")).alias("n_words"))
 
 
 @query("multiply_columns", """select l_orderkey, l_linenumber, l_extendedprice * l_quantity as price_x,
