@@ -129,4 +129,4 @@ def bucket_name_of(c: Column | str) -> Column:
 
 def word_set(c: Column | str) -> Column:
     """Distinct lower-case words of two or more letters, digits or underscores."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(?U)\b\w\w+\b"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(F.lower(_col(c)), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)))

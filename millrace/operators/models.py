@@ -395,18 +395,28 @@ def importances(model, features: Sequence[str], df: DataFrame) -> DataFrame:
         F.desc("importance"), "feature")
 
 
-def auc_by_round(model, valid: DataFrame, key: str, label: str = "label") -> DataFrame:
-    """(round, auc) of a boosted binary model after every round, in one job."""
-    weights = list(model.treeWeights)
-    scored = valid.select(key, label, "features")
-    for i, tree in enumerate(model.trees):
-        tree = tree.copy().setPredictionCol(f"_t{i}")
-        scored = tree.transform(scored)
+def _with_trees(model, df: DataFrame, rounds: int, keep: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """Predictions of the first trees side by side, and the running margin after each."""
+    scored = df.select(*keep, "features")
     margins, total = [], F.lit(0.0)
-    for i, weight in enumerate(weights):
+    for i, (tree, weight) in enumerate(zip(model.trees[:rounds], model.treeWeights)):
+        scored = tree.copy().setPredictionCol(f"_t{i}").transform(scored)
         total = total + F.col(f"_t{i}") * F.lit(float(weight))
-        margins.append(F.struct(F.lit(i + 1).alias("round"), total.alias("margin")))
-    long = scored.select(key, label, F.explode(F.array(*margins)).alias("r")).select(key, label, "r.*")
+        margins.append(total)
+    return scored, margins
+
+
+def rounds_margin(model, df: DataFrame, rounds: int, keep: Sequence[str]) -> DataFrame:
+    """(keep..., margin): the boosted sum after the first ``rounds`` trees."""
+    scored, margins = _with_trees(model, df, rounds, keep)
+    return scored.select(*keep, margins[-1].alias("margin"))
+
+
+def auc_by_round(model, valid: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """(round, auc) of a boosted binary model after every round, in one job."""
+    scored, margins = _with_trees(model, valid, len(model.treeWeights), [key, label])
+    cells = [F.struct(F.lit(i + 1).alias("round"), m.alias("margin")) for i, m in enumerate(margins)]
+    long = scored.select(key, label, F.explode(F.array(*cells)).alias("r")).select(key, label, "r.*")
     return roc_auc(long, label, "margin", by=["round"])
 
 

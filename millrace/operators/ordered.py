@@ -22,7 +22,8 @@ DIRECT_LIMIT = 50_000
 EXACT_LIMIT = 2_000_000
 """Rows a wanted range may hold before its order is spread over tasks as well."""
 
-SAMPLE_PER_RANGE = 16
+SAMPLE_PER_RANGE = 64
+"""Rows sampled per range to place its borders."""
 
 
 def default_ranges(df: DataFrame) -> int:
@@ -148,31 +149,38 @@ def order_statistics(
     """Exact values at 0-based ranks of several numeric columns, nulls left out.
 
     ``ranks[c]`` maps the number of known values of ``c`` to the ranks wanted. The result
-    holds, per column, that number and the values as doubles. All columns share three jobs:
-    approximate percentiles cut each column into ranges, the rows per range are counted, and
+    holds, per column, that number and the values as doubles. All columns share a few jobs:
+    percentiles of a sample cut each column into ranges, the rows per range are counted, and
     only the ranges that hold a wanted rank are put in order, as (value, count) pairs.
     """
     names = list(ranks)
-    shares = [i / RANGES for i in range(1, RANGES)]
-    first = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(names)],
-        *[F.percentile_approx(F.col(c).cast("double"), shares, 10 * RANGES).alias(f"q_{i}")
-          for i, c in enumerate(names)]).first()
-    counts = {c: first[f"n_{i}"] for i, c in enumerate(names)}
+    known = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(names)]).first()
+    counts = {c: known[f"n_{i}"] for i, c in enumerate(names)}
     wanted = {c: list(ranks[c](counts[c])) if counts[c] else [] for c in names}
 
     doubles = df.select([F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(names)])
-    for i, c in enumerate(names):
-        large = counts[c] > DIRECT_LIMIT
-        doubles = tag_range(doubles, f"_v{i}", sorted(set(first[f"q_{i}"])) if large else [], f"_r{i}")
-    spans = [F.when(F.col(f"_v{i}").isNotNull(), F.struct(
-        F.lit(i).alias("span"), F.col(f"_r{i}").alias("range"), F.col(f"_v{i}").alias("v")))
-        for i in range(len(names))]
-    rows = doubles.select(F.explode(F.array_compact(F.array(*spans))).alias("e")).select("e.*")
+    large = [i for i, c in enumerate(names) if counts[c] > DIRECT_LIMIT]
+    borders: dict[int, list] = {}
+    if large:
+        # a sample is enough: the borders decide how even the ranges are, not what is found
+        part = min(1.0, RANGES * SAMPLE_PER_RANGE / max(counts[names[i]] for i in large))
+        shares = [i / RANGES for i in range(1, RANGES)]
+        cuts = doubles.sample(part, 0).agg(*[
+            F.percentile_approx(f"_v{i}", shares, 10 * RANGES).alias(f"q_{i}") for i in large]).first()
+        borders = {i: sorted(set(cuts[f"q_{i}"] or [])) for i in large}
+    for i in range(len(names)):
+        doubles = tag_range(doubles, f"_v{i}", borders.get(i, []), f"_r{i}")
+    spans = [F.struct(F.lit(i).alias("span"), F.col(f"_r{i}").alias("range"), F.col(f"_v{i}").alias("v"))
+             for i in range(len(names))]
+    if len(names) == 1:
+        rows = doubles.select(spans[0].alias("e")).select("e.*")
+    else:
+        rows = doubles.select(F.explode(F.array(*spans)).alias("e")).select("e.*")
+    rows = rows.where(F.col("v").isNotNull())
 
     before: dict[tuple[int, int], int] = {}
     sizes: dict[tuple[int, int], int] = {}
-    if any(counts[c] > DIRECT_LIMIT for c in names):
+    if large:
         running: dict[int, int] = {}
         for span, part, n in sorted(tuple(r) for r in rows.groupBy("span", "range").count().collect()):
             before[span, part], sizes[span, part] = running.get(span, 0), n

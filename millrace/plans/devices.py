@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import concat_key, round_half_even
-from millrace.operators import aggregates as A, encoding as E, sparse as P
+from millrace.operators import aggregates as A, encoding as E, ensembling as B, models as M, sparse as P
+from millrace.operators import tuning as T
+from millrace.operators.sampling import split_by_fraction, stratified_folds
 from millrace.session import cut_lineage
 
 HOURS = list(range(24))
@@ -112,3 +116,26 @@ def sparse_blocks(people: DataFrame, events: DataFrame, event_apps: DataFrame, a
         coded = wanted.where(F.col(column).isNotNull()).join(levels, column)
         blocks.append((name, coded.select(device, F.col("code").alias("col")), levels.count()))
     return P.offset_blocks(blocks, device)
+
+
+def group_scores(train: DataFrame, test: DataFrame, device: str, group: str, candidates, folds: int = 3,
+                 seed: int = 0) -> tuple[DataFrame, str, float]:
+    """(device, one column per group), the method used and its loss.
+
+    The best single model and the stacked blend are compared on the same held-out devices.
+    """
+    indexer = StringIndexer(inputCol=group, outputCol="label", stringOrderType="alphabetAsc").fit(train)
+    columns = [c for c in train.columns if c not in (device, group)]
+    rows = M.assemble(indexer.transform(train), columns, [device, "label"])
+    fit_rows, held = split_by_fraction(rows, device, 0.6, seed)
+    unseen = M.assemble(test, columns, [device])
+    with M.kept(fit_rows) as kept_fit, M.kept(held) as kept_held:
+        loss = MulticlassClassificationEvaluator(metricName="logLoss")
+        name, single_loss, single = T.compare(kept_fit, kept_held, candidates, loss)[0]
+        stack = B.Stack(candidates, folds, iterations=20)
+        stack.fit(stratified_folds(kept_fit, device, "label", folds, seed), device, "label", "fold")
+        blend_loss = B.multiclass_loss(stack.transform(kept_held, [device, "label"]))
+    method, lowest, scorer = B.choose_lower(
+        (name, single_loss, lambda df: single.transform(df).select(device, "probability")),
+        ("blend", blend_loss, lambda df: stack.transform(df, [device]).select(device, "probability")))
+    return M.probability_columns(scorer(unseen), list(indexer.labels)), method, lowest

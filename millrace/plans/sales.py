@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import scalars as S
-from millrace.operators import encoding as E
+from millrace.functions.hashing import hash_fraction
+from millrace.operators import encoding as E, models as M
+from millrace.operators.metrics import rmspe_evaluator
 
 # Codes of the state holidays.
 HOLIDAYS = ["a", "b", "c"]
@@ -35,3 +37,25 @@ def sales_features(sales: DataFrame, store: DataFrame, holidays=tuple(HOLIDAYS),
         levels = E.sorted_levels(attributes, c, start=1)
         attributes = E.encode(attributes, levels, c, f"_{c}", unseen=0).drop(c).withColumnRenamed(f"_{c}", c)
     return dated.join(attributes, "Store")
+
+
+def boosted_sales(train: DataFrame, test: DataFrame, key: str, rounds: int = 100, depth: int = 8,
+                  step: float = 0.1, validation_share: float = 0.4, seed: int = 0) -> tuple[DataFrame, float]:
+    """(key, Sales) from boosting on log sales, and the relative error on held-out rows."""
+    features = [c for c in train.columns if c not in (key, "Sales", "Customers", "Open") and c in test.columns]
+    rows = M.assemble(train.withColumn("label", F.log1p("Sales")), features, [key, "label"])
+    rows = rows.withColumn("is_valid", hash_fraction(key, seed) < validation_share)
+    with M.kept(rows) as kept:
+        model = M.gbt_regression(rounds, depth, step, 0.8, seed, validation="is_valid").fit(kept)
+        error = rmspe_evaluator().evaluate(model.transform(kept.where("is_valid")))
+    scored = model.transform(M.assemble(test, features, [key])).select(
+        key, F.expm1("prediction").alias("Sales"))
+    return scored.orderBy(key), error
+
+
+def per_store_sales(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
+    """(key, Sales) from one linear model of log sales per store."""
+    features = [c for c in train.columns if c not in (key, "Store", "Sales", "Customers") and c in test.columns]
+    models = M.fit_group_ols(train, "Store", features, F.log1p("Sales"))
+    scored = M.predict_group_ols(test, models, "Store", features)
+    return scored.select(key, F.expm1("prediction").alias("Sales")).orderBy(key)
