@@ -16,8 +16,11 @@ from millrace.operators.ordered import default_ranges, number_rows
 HALF = 1 << 16
 
 
-def split_by_fraction(df: DataFrame, key: str, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
-    """About ``fraction`` of the rows, and the rest; needs no shuffle."""
+def split_by_fraction(df: DataFrame, key: str, fraction: float, seed: int | str) -> tuple[DataFrame, DataFrame]:
+    """About ``fraction`` of the rows, and the rest; needs no shuffle.
+
+    A split of a split needs another seed, or the second one finds only rows of one side.
+    """
     chosen = hash_fraction(key, seed) < fraction
     return df.where(chosen), df.where(~chosen)
 
@@ -40,7 +43,7 @@ def _cut(counts: list[tuple], wanted: Mapping) -> dict:
     return cuts
 
 
-def sample_exact(df: DataFrame, key: str, wanted: int | Mapping, seed: int, by: str | None = None) -> DataFrame:
+def sample_exact(df: DataFrame, key: str, wanted: int | Mapping, seed: int | str, by: str | None = None) -> DataFrame:
     """Exactly ``wanted`` rows (per class of ``by`` if a mapping), those first in hash order.
 
     The 32-bit border of every class is found by counting the upper, then the lower 16 bits;

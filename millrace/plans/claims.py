@@ -11,6 +11,7 @@ from millrace.operators import tuning as U, windows as W
 from millrace.operators.metrics import log_loss
 from millrace.operators.relational import columns_of, stack_sources
 from millrace.operators.sampling import sample_exact, split_by_fraction, stratified_folds
+from millrace.session import cut_lineage
 
 MARK = "is_train"
 
@@ -29,7 +30,7 @@ def encoded(train: DataFrame, test: DataFrame, key: str, target: str, max_values
     inputs = [c for c in both.columns if c not in (key, target, MARK)]
     filled = C.MixedImputer(inputCols=inputs).fit(both).transform(both)
     onehot, dropped = E.onehot_low_cardinality(filled.drop(key, target, MARK), max_values)
-    return _apart(onehot.transform(filled).drop(*dropped), target)
+    return _apart(cut_lineage(onehot.transform(filled).drop(*dropped)), target)
 
 
 def forest_scores(train: DataFrame, test: DataFrame, key: str, target: str, max_values: int = 25,
@@ -38,7 +39,7 @@ def forest_scores(train: DataFrame, test: DataFrame, key: str, target: str, max_
     train, test = encoded(train, test, key, target, max_values)
     features = _features(train, key, target)
     rows = M.assemble(train.withColumn("label", F.col(target).cast("double")), features, [key, "label"])
-    fit_rows, held = split_by_fraction(rows, key, 0.6, seed)
+    fit_rows, held = split_by_fraction(rows, key, 0.6, f"{seed}-hold-out")
     with M.kept(fit_rows) as kept:
         model = M.random_forest(trees, depth, seed).fit(kept)
     p = M.positive_probability()
@@ -56,7 +57,7 @@ def unscaled(train: DataFrame, test: DataFrame, key: str, target: str, order: st
     for c in columns_of(both, "string"):
         levels = E.first_seen_levels(train, c, order)
         rows = E.encode(rows, levels, c, f"_{c}", unseen=-1).drop(c).withColumnRenamed(f"_{c}", c)
-    return _apart(rows, target)
+    return _apart(cut_lineage(rows), target)
 
 
 def extra_trees_scores(train: DataFrame, test: DataFrame, key: str, target: str, trees: int = 50,
@@ -64,7 +65,7 @@ def extra_trees_scores(train: DataFrame, test: DataFrame, key: str, target: str,
     train, test = unscaled(train, test, key, target, order=key)
     features = _features(train, key, target)
     labelled = train.withColumn("label", F.col(target).cast("double"))
-    fit_rows, held = split_by_fraction(labelled, key, 0.6, seed)
+    fit_rows, held = split_by_fraction(labelled, key, 0.6, f"{seed}-hold-out")
     model = M.ExtraTrees(trees, depth, seed).fit(fit_rows, features)
     p = F.col("probability")[1]
     loss = model.transform(held).agg(log_loss(F.col("label"), p)).first()[0]
@@ -75,10 +76,11 @@ def filtered(train: DataFrame, test: DataFrame, key: str, target: str, cutoff: f
     """Gaps as -1, text as codes of train and test together, then the two column filters."""
     both = stack_sources(train, test, MARK)
     texts = columns_of(both, "string")
-    both = both.na.fill(-1).na.fill("-1", texts)
+    both = coded = both.na.fill(-1).na.fill("-1", texts)
     for c in texts:
         levels = E.first_seen_levels(both, c, key)
-        both = E.encode(both, levels, c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
+        coded = E.encode(coded, levels, c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
+    both = cut_lineage(coded)
     features = _features(both.drop(MARK), key, target)
     flat = [r["column"] for r in X.near_zero_variance(both, features).where("nzv").collect()]
     features = [c for c in features if c not in flat]
@@ -94,7 +96,7 @@ def boosted_scores(train: DataFrame, test: DataFrame, key: str, target: str, cut
     train, test = filtered(train, test, key, target, cutoff)
     features = _features(train, key, target)
     rows = M.assemble(train.withColumn("label", F.col(target).cast("double")), features, [key, "label"])
-    held = sample_exact(rows.select(key), key, validation_rows, seed)
+    held = sample_exact(rows.select(key), key, validation_rows, f"{seed}-validation")
     fit_rows = rows.join(held, key, "left_anti")
     folded = stratified_folds(fit_rows, key, "label", folds, seed)
     best, _ = U.boosting_rounds(folded, M.gbt_binary(rounds, depth, step, 0.7, seed), "fold", folds)

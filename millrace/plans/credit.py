@@ -10,6 +10,7 @@ from millrace.operators import binning as B, cleaning as C, models as M, tuning
 from millrace.operators.metrics import AreaEvaluator
 from millrace.operators.relational import columns_difference, complete_keys, drop_listed
 from millrace.operators.sampling import stratified_folds, stratified_split
+from millrace.session import cut_lineage
 
 # Short names of the input columns, and the codes that stand for no answer.
 SHORT_NAMES = {
@@ -59,14 +60,16 @@ def with_income(train: DataFrame, test: DataFrame, trees: int, depth: int, seed:
 
 
 def features(train: DataFrame, test: DataFrame, key: str, trees: int, depth: int, seed: int):
-    train, test = with_income(clean(train), clean(test), trees, depth, seed)
+    # every step below learns something from the rows, so each reads a stored copy
+    train, test = cut_lineage(clean(cut_lineage(train))), cut_lineage(clean(cut_lineage(test)))
+    train, test = (cut_lineage(df) for df in with_income(train, test, trees, depth, seed))
     train, test = B.split_into_buckets(train, test, "age", 10, drop_original=False)
     train, test = B.split_into_buckets(train, test, "MonthlyIncome_Imputed", 10, drop_original=False,
                                        jitter_key=key, seed=seed)
     train, test = B.split_into_buckets(train, test, "NumOCLL", 8)
     train, test = B.split_into_buckets(train, test, "NumRELL", 4, jitter_key=key, seed=seed)
     tiers = B.UtilisationModel.fit(train, "RUoUL")
-    return tiers.transform(train), tiers.transform(test)
+    return cut_lineage(tiers.transform(train)), cut_lineage(tiers.transform(test))
 
 
 def default_scores(train: DataFrame, test: DataFrame, key: str, template: DataFrame | None = None,

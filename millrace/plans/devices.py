@@ -124,16 +124,17 @@ def group_scores(train: DataFrame, test: DataFrame, device: str, group: str, can
 
     The best single model and the stacked blend are compared on the same held-out devices.
     """
+    train, test = cut_lineage(train), cut_lineage(test)
     indexer = StringIndexer(inputCol=group, outputCol="label", stringOrderType="alphabetAsc").fit(train)
     columns = [c for c in train.columns if c not in (device, group)]
     rows = M.assemble(indexer.transform(train), columns, [device, "label"])
-    fit_rows, held = split_by_fraction(rows, device, 0.6, seed)
+    fit_rows, held = split_by_fraction(rows, device, 0.6, f"{seed}-hold-out")
     unseen = M.assemble(test, columns, [device])
     with M.kept(fit_rows) as kept_fit, M.kept(held) as kept_held:
         loss = MulticlassClassificationEvaluator(metricName="logLoss")
         name, single_loss, single = T.compare(kept_fit, kept_held, candidates, loss)[0]
         stack = B.Stack(candidates, folds, iterations=20)
-        stack.fit(stratified_folds(kept_fit, device, "label", folds, seed), device, "label", "fold")
+        stack.fit(stratified_folds(kept_fit, device, "label", folds, f"{seed}-folds"), device, "label", "fold")
         blend_loss = B.multiclass_loss(stack.transform(kept_held, [device, "label"]))
     method, lowest, scorer = B.choose_lower(
         (name, single_loss, lambda df: single.transform(df).select(device, "probability")),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators import encoding as E, models as M, selection as X
 from millrace.operators.relational import columns_of
 from millrace.operators.sampling import sample_exact
+from millrace.session import cut_lineage
 
 
 def coded(train: DataFrame, test: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -21,7 +22,7 @@ def coded(train: DataFrame, test: DataFrame, key: str) -> tuple[DataFrame, DataF
         levels = E.first_seen_levels(ordered, c, "_order", start=1)
         train, test = (E.encode(df, levels, c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
                        for df in (train, test))
-    return train.na.fill(-1), test.na.fill(-1)
+    return cut_lineage(train.na.fill(-1)), cut_lineage(test.na.fill(-1))
 
 
 def response_scores(train: DataFrame, test: DataFrame, key: str, target: str, validation_rows: int,
@@ -31,7 +32,7 @@ def response_scores(train: DataFrame, test: DataFrame, key: str, target: str, va
     train, test = coded(train, test, key)
     features = sorted(c for c in train.columns if c not in (key, target))
     rows = M.assemble(train.withColumn("label", F.col(target).cast("double")), features, [key, "label"])
-    held = sample_exact(rows.select(key), key, validation_rows, seed)
+    held = sample_exact(rows.select(key), key, validation_rows, f"{seed}-validation")
     with M.kept(rows.join(held, key, "left_anti")) as fit_rows:
         model = M.gbt_binary(rounds, depth, step, 0.7, seed, feature_share=0.7).fit(fit_rows)
     areas = [r["auc"] for r in

@@ -8,6 +8,7 @@ from millrace.functions import scalars as S
 from millrace.functions.hashing import hash_fraction
 from millrace.operators import encoding as E, models as M
 from millrace.operators.metrics import rmspe_evaluator
+from millrace.session import cut_lineage
 
 # Codes of the state holidays.
 HOLIDAYS = ["a", "b", "c"]
@@ -32,11 +33,12 @@ def sales_features(sales: DataFrame, store: DataFrame, holidays=tuple(HOLIDAYS),
         *[c for c in rows.columns if c not in ("Date", "StateHoliday")],
         F.dayofmonth("Date").alias("Day"), F.month("Date").alias("Month"), F.year("Date").alias("Year"),
         S.in_set_flag("StateHoliday", list(holidays)).alias("Is_StateHoliday"))
-    attributes = store_attributes(store)
+    attributes = coded = store_attributes(store)
     for c in ("StoreType", "Assortment", "PromoInterval"):
-        levels = E.sorted_levels(attributes, c, start=1)
-        attributes = E.encode(attributes, levels, c, f"_{c}", unseen=0).drop(c).withColumnRenamed(f"_{c}", c)
-    return dated.join(attributes, "Store")
+        levels = E.sorted_levels(store, c, start=1)
+        coded = E.encode(coded, levels, c, f"_{c}", unseen=0).drop(c).withColumnRenamed(f"_{c}", c)
+    # one row per store, joined to train and to test: computed once
+    return dated.join(cut_lineage(coded.select(*attributes.columns)), "Store")
 
 
 def boosted_sales(train: DataFrame, test: DataFrame, key: str, rounds: int = 100, depth: int = 8,
@@ -44,7 +46,7 @@ def boosted_sales(train: DataFrame, test: DataFrame, key: str, rounds: int = 100
     """(key, Sales) from boosting on log sales, and the relative error on held-out rows."""
     features = [c for c in train.columns if c not in (key, "Sales", "Customers", "Open") and c in test.columns]
     rows = M.assemble(train.withColumn("label", F.log1p("Sales")), features, [key, "label"])
-    rows = rows.withColumn("is_valid", hash_fraction(key, seed) < validation_share)
+    rows = rows.withColumn("is_valid", hash_fraction(key, f"{seed}-validation") < validation_share)
     with M.kept(rows) as kept:
         model = M.gbt_regression(rounds, depth, step, 0.8, seed, validation="is_valid").fit(kept)
         error = rmspe_evaluator().evaluate(model.transform(kept.where("is_valid")))
