@@ -253,8 +253,9 @@ def nearest(train: DataFrame, queries: DataFrame, key: str, vector: str, carry:
     per query, so k rows per query and partition are shuffled, never the pairs.
     """
     context = train.sparkSession.sparkContext
-    per_block = max(1, QUERY_BLOCK_BYTES // (8 * width))
-    blocks = -(-queries.count() // per_block) * (2 if queries.count() > per_block else 1)
+    per_block, total = max(1, QUERY_BLOCK_BYTES // (8 * width)), queries.count()
+    # hashed blocks differ in size, so twice as many as would do if all were full
+    blocks = 1 if total <= per_block else 2 * -(-total // per_block)
     rows = train.select(F.col(key).alias("neighbour"), F.col(vector).alias("v"), F.col(carry).alias("carry"))
     query_type, carry_type = queries.schema[key].dataType, train.schema[carry].dataType
     schema = T.StructType([
@@ -323,7 +324,10 @@ def fit_group_ols(df: DataFrame, group: str, features: Sequence[str], label: Col
     """
     columns = [F.col(c).cast("double") for c in features] + [label.cast("double")]
     size = len(columns)
-    rows = df.select(group, *[c.alias(f"_x{i}") for i, c in enumerate(columns)]).na.drop()
+    rows = df.select(group, *[c.alias(f"_x{i}") for i, c in enumerate(columns)])
+    # one test on all columns: a filter per column makes the optimizer relate them pairwise
+    known = F.array_compact(F.array(*[F.col(f"_x{i}") for i in range(size)]))
+    rows = rows.where(F.col(group).isNotNull() & (F.size(known) == size))
     # products of differences from the overall means lose fewer digits than raw products
     centre = rows.agg(*[F.avg(f"_x{i}") for i in range(size)]).first()
     x = [F.col(f"_x{i}") - F.lit(centre[i] or 0.0) for i in range(size)]

@@ -24,10 +24,13 @@ EXACT_LIMIT = 2_000_000
 
 SAMPLE_PER_RANGE = 64
 """Rows sampled per range to place its borders."""
+LEVELS_PER_RANGE = 16
+"""Distinct texts sampled per range; these reach the driver (65 536 at most)."""
 
 
 def default_ranges(df: DataFrame) -> int:
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    """As many ranges as a shuffle has partitions, within bounds the driver can hold."""
+    return min(4096, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
 def split_points(df: DataFrame, column: str, ranges: int | None = None) -> list:
@@ -41,7 +44,7 @@ def split_points(df: DataFrame, column: str, ranges: int | None = None) -> list:
         # A hash order picks a repeatable uniform sample of the distinct values.
         sample = (
             df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(F.xxhash64(column)).limit(SAMPLE_PER_RANGE * ranges)
+            .orderBy(F.xxhash64(column)).limit(LEVELS_PER_RANGE * ranges)
         )
         values = sorted((row[0] for row in sample.collect()),
                         key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)

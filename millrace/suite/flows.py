@@ -49,7 +49,7 @@ def claims_extra_trees(t: Tables):
 def claims_boosted_runs(t: Tables):
     train, test = halves(claim_rows(t), "ID", "target")
     scores, best = claims.boosted_scores(train, test, "ID", "target", rounds=4, folds=2, runs=2, depth=3,
-                                         validation_rows=500, seed=SEED)
+                                         validation_rows=200, seed=SEED)
     return scores.withColumn("rounds", F.lit(best))
 
 
@@ -83,7 +83,7 @@ def credit_default(t: Tables):
 @query("response_boosting")
 def response_boosting(t: Tables):
     train, test = halves(claim_rows(t), "ID", "target")
-    scores, areas, best = response.response_scores(train, test, "ID", "target", validation_rows=1000, rounds=5,
+    scores, areas, best = response.response_scores(train, test, "ID", "target", validation_rows=200, rounds=5,
                                                    depth=3, patience=3, seed=SEED)
     return scores.withColumns({"round": F.lit(best), "auc": F.lit(areas[best - 1])})
 
