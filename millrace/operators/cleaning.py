@@ -143,11 +143,8 @@ def winsorize(df: DataFrame, columns: Sequence[str], share: float = 0.05) -> Dat
         for c, (low, high) in bounds.items()})
 
 
-def percentile_outlier(df: DataFrame, column: str, threshold: float = 95) -> Column:
-    """True outside the central ``threshold`` percent."""
-    tail = (100 - threshold) / 200
-    low, high = quantiles(df, {column: [tail, 1 - tail]})[column]
-    return (F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high))
+def _outside(c: Column, low: float, high: float) -> Column:
+    return (c < F.lit(low)) | (c > F.lit(high))
 
 
 def _beyond(deviation: Column, spread: Column, threshold: float) -> Column:
@@ -156,30 +153,54 @@ def _beyond(deviation: Column, spread: Column, threshold: float) -> Column:
     return F.when(spread == 0, deviation > 0).otherwise(score > threshold)
 
 
+def _two_sided(c: Column, middle: float, left: float, right: float, threshold: float) -> Column:
+    spread = F.when(c > middle, F.lit(right)).otherwise(F.lit(left))
+    return F.when(c == middle, F.lit(False)).otherwise(_beyond(F.abs(c - F.lit(middle)), spread, threshold))
+
+
+def _spreads(df: DataFrame, column: str, middle: float) -> dict[str, float | None]:
+    """Median distance from the median: of all values, of those up to it, of those from it."""
+    c = F.col(column)
+    away = F.abs(c - F.lit(middle))
+    return medians(df.select(away.alias("all"), F.when(c <= middle, away).alias("left"),
+                             F.when(c >= middle, away).alias("right")), ["all", "left", "right"])
+
+
+def percentile_outlier(df: DataFrame, column: str, threshold: float = 95) -> Column:
+    """True outside the central ``threshold`` percent."""
+    tail = (100 - threshold) / 200
+    return _outside(F.col(column), *quantiles(df, {column: [tail, 1 - tail]})[column])
+
+
 def mad_outlier(df: DataFrame, column: str, threshold: float = OUTLIER_THRESHOLD) -> Column:
     """True where the distance from the median is large against the median distance."""
     middle = medians(df, [column])[column]
-    deviation = F.abs(F.col(column) - F.lit(middle))
-    spread = medians(df.select(deviation.alias("_d")), ["_d"])["_d"]
-    return _beyond(deviation, F.lit(spread), threshold)
+    away = F.abs(F.col(column) - F.lit(middle))
+    spread = medians(df.select(away.alias("_d")), ["_d"])["_d"]
+    return _beyond(away, F.lit(spread), threshold)
 
 
 def double_mad_outlier(df: DataFrame, column: str, threshold: float = OUTLIER_THRESHOLD) -> Column:
     """The same with separate median distances left and right of the median."""
     middle = medians(df, [column])[column]
-    c = F.col(column)
-    deviation = F.abs(c - F.lit(middle))
-    sides = df.select(F.when(c <= middle, deviation).alias("_left"), F.when(c >= middle, deviation).alias("_right"))
-    spread = medians(sides, ["_left", "_right"])
-    beyond = _beyond(deviation, F.when(c > middle, F.lit(spread["_right"])).otherwise(F.lit(spread["_left"])),
-                     threshold)
-    return F.when(c == middle, F.lit(False)).otherwise(beyond)
-
-
-def outlier_votes(df: DataFrame, column: str, min_votes: int = 3) -> DataFrame:
-    """Flags of the three detectors, their number and whether it reaches ``min_votes``."""
-    flags = {"by_percentile": percentile_outlier(df, column), "by_mad": mad_outlier(df, column),
-             "by_double_mad": double_mad_outlier(df, column)}
+    spread = _spreads(df, column, middle)
+    return _two_sided(F.col(column), middle, spread["left"], spread["right"], threshold)
+
+
+def outlier_votes(df: DataFrame, column: str, min_votes: int = 3, percent: float = 95,
+                  threshold: float = OUTLIER_THRESHOLD) -> DataFrame:
+    """Flags of the three detectors, their number and whether it reaches ``min_votes``.
+
+    Two fits serve all three: bounds and median together, then the three median distances.
+    """
+    c, tail = F.col(column), (100 - percent) / 200
+    low, middle, high = quantiles(df, {column: [tail, 0.5, 1 - tail]})[column]
+    spread = _spreads(df, column, middle)
+    flags = {
+        "by_percentile": _outside(c, low, high),
+        "by_mad": _beyond(F.abs(c - F.lit(middle)), F.lit(spread["all"]), threshold),
+        "by_double_mad": _two_sided(c, middle, spread["left"], spread["right"], threshold),
+    }
     flagged = df.withColumns({name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()})
     votes = sum((F.col(name).cast("int") for name in flags), F.lit(0))
     return flagged.withColumn("votes", votes).withColumn("is_outlier", F.col("votes") >= min_votes)
