@@ -65,6 +65,11 @@ def ngrams(tokens: Column, widths: tuple[int, ...] = (1, 2, 3)) -> Column:
     return F.array_distinct(F.concat(*[of(w) for w in widths]))
 
 
+def _constant(values: list[str]) -> Column:
+    """The values as one folded array."""
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
 class LicenseModel:
     """Vocabulary of template n-grams, the fitted regression, the calibrated threshold."""
 
@@ -89,7 +94,7 @@ class LicenseModel:
         self.threshold = max(0.3, held.agg(F.percentile(best, F.lit(1.0 - FALSE_ALARMS))).first()[0] or 0.0)
 
     def _described(self, frame: DataFrame) -> DataFrame:
-        own = F.array(*[F.lit(g) for g in self.vocabulary])
+        own = _constant(self.vocabulary)
         rest = [c for c in frame.columns if c != "w"]
         return self.counts.transform(frame.select(*rest, F.array_intersect(ngrams(F.col("w")), own).alias("shared")))
 
@@ -107,7 +112,7 @@ class LicenseModel:
         name = F.element_at(F.array(*[F.lit(n) for n in self.names]), F.array_position(F.slice(p, 1, families), best).cast("int"))
         scored = scored.select("id", "paragraph", "text", "shared", best.alias("probability"), name.alias("guess"))
         held = F.greatest(F.lit(0.0), *[
-            F.when(F.col("guess") == family, F.size(F.array_intersect(F.col("shared"), F.array(*[F.lit(g) for g in grams]))) / F.lit(float(len(grams))))
+            F.when(F.col("guess") == family, F.size(F.array_intersect(F.col("shared"), _constant(grams))) / F.lit(float(len(grams))))
             for family, grams in self.known])
         scored = scored.withColumn("held", held)
         sure = (F.col("probability") >= self.threshold) & (F.col("held") >= CONFIRMED)

@@ -29,7 +29,7 @@ FEATURES = 1_200
 FOLDS = 3
 LEAST_TEXTS = 4
 """Texts a word must be in to become a feature."""
-CLEAR = 5.0
+CLEAR = 6.0
 """Standard errors by which its shares in the two classes must differ."""
 SEVERE = 4
 """Toxic texts with so many different telling words count as severe."""
@@ -158,7 +158,7 @@ def predict(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
     """
     prepared(docs.sparkSession)
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    schema = kept.select("row").schema.add("p", T.ArrayType(T.DoubleType())).add("marks", "bigint")
+    schema = kept.select("row").schema.add("p", T.ArrayType(T.DoubleType())).add("marks", T.LongType())
     strong = chain.features[chain.weights[1][: len(chain.features)] > 0]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
