@@ -62,7 +62,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Shape:
                                              ["id", "y", "x"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    rows = chosen.join(texts, "id").select("id", "y", "text").mapInArrow(work, "id bigint, y double, x array<double>").dropDuplicates(["id"]).orderBy("id").toArrow()
+    # at most ``sample`` rows of two numbers, so sending them to every task is bounded
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(work, "id bigint, y double, x array<double>").dropDuplicates(["id"]).orderBy("id").toArrow()
     width = 2 * (len(GROUPS) + 3)
     x = np.array(rows["x"].to_pylist(), float).reshape(-1, width)
     y = rows["y"].to_numpy(zero_copy_only=False) if rows.num_rows else np.zeros(0)

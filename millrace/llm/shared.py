@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import scratch_folder, tuned
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once for each Spark context.
+
+    Functions are pickled by reference, so workers must be able to import it wherever they run.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-"), "millrace_code"), "zip", folder, "millrace")
+    context.addPyFile(archive)  # served to the executors by the driver
+    context._millrace_shipped = True
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Adaptive features on, and Arrow batches small enough for long texts."""
+    """Adaptive features on, Arrow batches small enough for long texts, the package on the workers."""
     tuned(spark)
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark
 
