@@ -71,7 +71,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Shape:
     spread = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(width)
     if len(x) == 0:
         return Shape(np.zeros(width + 1), center, spread)
-    return Shape(fit_logistic(((x - center) / spread).astype(np.float32), (np.asarray(y) > 0.5).astype(np.float32), 0.1), center, spread)
+    return Shape(fit_logistic(((x - center) / spread).astype(np.float32), (np.asarray(y) > 0.5).astype(np.float32), 0.1, 400, even=False), center, spread)
 
 
 def evidence(docs: DataFrame, shape: Shape, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -44,11 +44,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 150) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 150, even: bool = True) -> np.ndarray:
     """Weights of a logistic regression, the last one its intercept.
 
-    Accelerated gradient descent on the mean loss plus ``penalty / (2 n) |w|^2``; both classes
-    weigh the same. With one class only the intercept is set.
+    Accelerated gradient descent on the mean loss plus ``penalty / (2 n) |w|^2``; with ``even`` both
+    classes weigh the same. With one class only the intercept is set.
     """
     rows, width = x.shape
     w = np.zeros(width + 1)
@@ -57,6 +57,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int
         w[-1] = 8.0 if rows and positive else -8.0
         return w
     weight = np.where(y > 0, 0.5 / positive, 0.5 / (rows - positive)).astype(np.float32)
+    if not even:
+        weight = np.full(rows, 1.0 / rows, np.float32)
     # the steepest curvature, by power iteration
     v, top = np.ones(width + 1, np.float32), 1.0
     for _ in range(12):
