@@ -24,7 +24,7 @@ from millrace.llm import arrays
 from millrace.llm.shared import chance, fit_logistic, prepared
 
 CATEGORIES = ("junk", "toxic", "severe")
-SAMPLE = 12_000
+SAMPLE = 8_000
 FEATURES = 1_200
 FOLDS = 3
 LEAST_TEXTS = 4
@@ -40,6 +40,8 @@ class Chain:
     categories: tuple[str, ...]
     features: np.ndarray
     weights: list[np.ndarray]
+    threshold: float = 0.5
+    """Probability of ``toxic`` from which a text is rejected."""
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,13 +72,13 @@ def _dense(text: np.ndarray, hashes: np.ndarray, rows: int, features: np.ndarray
     return x
 
 
-def _telling(text: np.ndarray, hashes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes whose share differs clearly between the classes, and the standard errors."""
-    names, place = np.unique(hashes, return_inverse=True)
-    all_of, pos = np.bincount(place, minlength=len(names)), np.bincount(place, weights=y[text], minlength=len(names))
+def _telling(names: np.ndarray, place: np.ndarray, text: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words (``names``, at ``place`` of each text) whose share differs clearly between the classes, and the standard errors."""
     n, n1 = len(y), float(y.sum())
     if not 0 < n1 < n:
         return names[:0], np.zeros(0)
+    all_of = np.bincount(place, minlength=len(names))
+    pos = np.bincount(place[y[text] > 0], minlength=len(names))
     share = all_of / n
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / (n - n1)))
     z = (pos / n1 - (all_of - pos) / (n - n1)) / error
@@ -101,7 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), piece.column(2), pa.array(found, pa.binary())],
                                              ["id", "toxic", "quality", "words"])
 
-    rows = (chosen.join(texts, "id").select("id", "toxic", "quality", "text")
+    # at most ``sample`` rows of three numbers, so sending them to every task is bounded
+    rows = (texts.join(F.broadcast(chosen), "id").select("id", "toxic", "quality", "text")
             .mapInArrow(work, "id bigint, toxic double, quality double, words binary")
             .dropDuplicates(["id"]).orderBy("id").toArrow())
     return fit_rows(rows["id"].to_numpy(), rows["toxic"].to_numpy(zero_copy_only=False) if rows.num_rows else np.zeros(0),
@@ -111,14 +114,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
 
 def fit_rows(ids: np.ndarray, toxic: np.ndarray, quality: np.ndarray, words: Sequence[np.ndarray]) -> Chain:
     n = len(ids)
-    text = np.repeat(np.arange(n), [len(w) for w in words]) if n else np.zeros(0, np.int64)
+    text = np.repeat(np.arange(n, dtype=np.int32), [len(w) for w in words]) if n else np.zeros(0, np.int32)
     hashes = np.concatenate(words) if n else np.zeros(0, np.uint64)
     toxic, quality = np.nan_to_num(np.asarray(toxic, float)), np.nan_to_num(np.asarray(quality, float), nan=1.0)
     labels = {"junk": (quality < 0.5).astype(np.float32), "toxic": (toxic > 0.5).astype(np.float32)}
     chosen: dict[int, float] = {}
     telling: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    known, place = np.unique(hashes, return_inverse=True)
+    place = place.astype(np.int32)
     for name, y in labels.items():
-        telling[name] = names, z = _telling(text, hashes, y) if n else (np.zeros(0, np.uint64), np.zeros(0))
+        telling[name] = names, z = _telling(known, place, text, y)
         top = np.argsort(-np.abs(z), kind="stable")[: FEATURES // 2]
         chosen.update({int(h): 0.0 for h in names[top]})
     features = np.array(sorted(chosen), np.uint64)
@@ -139,7 +144,22 @@ def fit_rows(ids: np.ndarray, toxic: np.ndarray, quality: np.ndarray, words: Seq
                 out[inside] = chance(full[inside], fit_logistic(full[~inside], y[~inside], penalty=0.02))
         weights.append(fit_logistic(full, y, penalty=0.02))
         earlier.append(out)
-    return Chain(CATEGORIES, features, weights)
+    at = CATEGORIES.index("toxic")
+    marked = (x[:, weights[at][: len(features)] > 0].sum(axis=1) > 0) if n else np.zeros(0, bool)
+    return Chain(CATEGORIES, features, weights, _best_threshold(earlier[at][marked], labels["toxic"][marked]))
+
+
+def _best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """Where the out-of-fold predictions separate best (F1), half way to the next lower one."""
+    if not y.any():
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    p, hits = p[order], np.cumsum(y[order])
+    score = 2 * hits / (np.arange(1, len(p) + 1) + float(y.sum()))
+    score[:-1][p[:-1] == p[1:]] = 0  # equal probabilities are on one side
+    best = int(score.argmax())
+    lower = p[best + 1] if best + 1 < len(p) else 0.0
+    return float(min(0.5, (p[best] + lower) / 2))
 
 
 def predict_rows(column: pa.Array, chain: Chain) -> list[np.ndarray]:
@@ -151,7 +171,7 @@ def predict_rows(column: pa.Array, chain: Chain) -> list[np.ndarray]:
     return out
 
 
-def predict(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
+def predict(docs: DataFrame, chain: Chain, threshold: float | None = None) -> DataFrame:
     """Every row with its probabilities ``p_<category>`` and the decision ``rejected``.
 
     A text without a telling word has nothing to be rejected for and is kept.
@@ -159,6 +179,7 @@ def predict(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
     prepared(docs.sparkSession)
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
     schema = kept.select("row").schema.add("p", T.ArrayType(T.DoubleType())).add("marks", T.LongType())
+    threshold = chain.threshold if threshold is None else threshold
     strong = chain.features[chain.weights[1][: len(chain.features)] > 0]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
