@@ -32,8 +32,8 @@ ROWS = 5
 BITS = 4
 MARGIN = 0.15
 """Estimates this far below the threshold are still confirmed: over four standard errors."""
-BLOCK = 512
-"""Classes of a bucket that one task compares with as many others."""
+BLOCK = 256
+"""Classes that one task compares with as many others."""
 
 _A = (arrays.factors(BANDS * ROWS, 11) >> np.uint64(31)).astype(np.uint32) | np.uint32(1)
 _B = (arrays.factors(BANDS * ROWS, 12) >> np.uint64(32)).astype(np.uint32)
@@ -107,23 +107,34 @@ def estimate(left: Column, right: Column) -> Column:
     return (same / F.lit(float(total)) - chance) / (1.0 - chance)
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    side = classes.select(F.col("rep"), F.col("packed"))
-    near = stored(
-        pairs.join(side.select(F.col("rep").alias("a"), F.col("packed").alias("packed_a")), "a")
-        .join(side.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
-        .where(estimate(F.col("packed_a"), F.col("packed_b")) >= percent / 100.0 - MARGIN)
-        .select("a", "b"))
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(id, members): the full sets of the wanted ids.
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Joined by a shuffle at any size: the wanted ids grow with the input.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text"):
             found = [s.tobytes() for s in text_shingles(piece.column("text"), width)]
             yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found, pa.binary())], ["id", "members"])
 
-    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(sets_of, "id bigint, members binary")
-                  .dropDuplicates(["id"]))
+    return stored(docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(work, "id bigint, members binary").dropDuplicates(["id"]))
+
+
+def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether 100 * |intersection| >= percent * |union| of two sorted sets."""
+    place = np.searchsorted(left, right)
+    both = int((left[np.minimum(place, len(left) - 1)] == right).sum())
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose packed bits come near the threshold and whose full sets reach it."""
+    side = classes.select("rep", "packed")
+    near = stored(
+        pairs.join(side.select(F.col("rep").alias("a"), F.col("packed").alias("packed_a")), "a")
+        .join(side.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
+        .where(estimate(F.col("packed_a"), F.col("packed_b")) >= percent / 100.0 - MARGIN)
+        .select("a", "b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,10 +143,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 a, raw, other = (batch.column(i)[k] for i in (0, 2, 3))
                 if a.as_py() != last:
                     last, left = a.as_py(), np.frombuffer(raw.as_py(), np.uint64)
-                right = np.frombuffer(other.as_py(), np.uint64)
-                place = np.searchsorted(left, right)
-                both = int((left[np.minimum(place, len(left) - 1)] == right).sum())
-                keep.append(100 * both >= percent * (len(left) + len(right) - both))
+                keep.append(_similar(left, np.frombuffer(other.as_py(), np.uint64), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     full = (near.join(sets.select(F.col("id").alias("b"), F.col("members").alias("members_b")), "b")
@@ -172,48 +180,55 @@ def components(edges: DataFrame) -> DataFrame:
                   .union(links.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct()))
 
 
-def _rest(members: DataFrame, classes: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and come near by their packed bits."""
+def _rest(members: DataFrame, classes: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes that share a bucket but not a component.
+
+    Buckets that hold several components are taken together by the component of their smallest
+    class. There the classes of other components ask, all answer, block by block; of a component that
+    a class is linked to already, no second link is looked for. Only links come out.
+    """
     named = members.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     mixed = (named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"),
                                       F.min_by("component", "rep").alias("main"))
              .where("n > 2 and least <> most").select("key", "main"))
-    left = stored(named.join(mixed, "key").withColumn("asks", F.col("component") != F.col("main")))
-    # small components ask, all members answer; the main component never asks
-    sizes = left.groupBy("key").agg(F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("asking"),
-                                    F.ceil(F.count("*") / BLOCK).cast("int").alias("answering"))
-    full = left.join(sizes, "key").join(classes.select("rep", "packed", "bands"), "rep")
+    left = stored(named.join(mixed, "key").select("main", "rep", "component").distinct()
+                  .withColumn("asks", F.col("component") != F.col("main")))
+    sizes = left.groupBy("main").agg(F.ceil(F.count_if("asks") / BLOCK).cast("int").alias("asking"),
+                                     F.ceil(F.count("*") / BLOCK).cast("int").alias("answering"))
+    full = (left.join(sizes, "main").join(classes.select("rep", "packed", "bands"), "rep")
+            .join(sets.withColumnRenamed("id", "rep"), "rep"))
     draw = F.xxhash64("rep", F.lit(3))
-    column = ["key", "rep", "component", "packed", "bands"]
+    column = ["main", "rep", "component", "packed", "bands", "members"]
     asks = full.where("asks").select(*column, F.lit(True).alias("asks"), F.pmod(draw, F.col("asking")).cast("int").alias("i"),
                                      F.explode(F.sequence(F.lit(0), F.col("answering") - 1)).alias("j"))
-    answers = full.select(*column, F.lit(False).alias("asks"),
-                          F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("i"),
-                          F.pmod(draw, F.col("answering")).cast("int").alias("j"))
-    least = percent / 100.0 - MARGIN
+    answers = full.where("asking > 0").select(*column, F.lit(False).alias("asks"),
+                                              F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("i"),
+                                              F.pmod(draw, F.col("answering")).cast("int").alias("j"))
+    least, chance = percent / 100.0 - MARGIN, 1.0 / (1 << BITS)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         ask, answer = rows[rows.asks], rows[~rows.asks]
         out: list[tuple[int, int]] = []
         if len(ask) and len(answer):
-            key = rows["key"].iloc[0]
             ids, comp = answer["rep"].to_numpy(), answer["component"].to_numpy()
             packed = np.stack(answer["packed"].to_list()).view(np.uint64)
             bands = np.stack(answer["bands"].to_list())
-            for rep, own, low, keys in zip(ask["rep"], ask["component"], ask["packed"], ask["bands"]):
+            sets = [np.frombuffer(m, np.uint64) for m in answer["members"]]
+            for rep, own, low, keys, raw in zip(ask["rep"], ask["component"], ask["packed"], ask["bands"], ask["members"]):
                 d = packed ^ np.asarray(low).view(np.uint64)
                 d |= d >> np.uint64(2)
                 d = (d | d >> np.uint64(1)) & np.uint64(0x1111111111111111)
-                same = 1.0 - np.bitwise_count(d).sum(axis=1) / (BANDS * ROWS)
-                chance = 1.0 / (1 << BITS)
-                shared = bands == np.asarray(keys)
-                first = np.asarray(keys)[shared.argmax(axis=1)] == key  # each pair in one of its buckets only
-                good = (comp != own) & first & ((same - chance) / (1 - chance) >= least)
-                out += [(min(rep, x), max(rep, x)) for x in ids[good]]
+                alike = (1.0 - np.bitwise_count(d).sum(axis=1) / (BANDS * ROWS) - chance) / (1 - chance)
+                good = np.flatnonzero((comp != own) & (alike >= least) & (bands == np.asarray(keys)).any(axis=1))
+                linked, mine = set(), np.frombuffer(raw, np.uint64)
+                for k in good[np.argsort(-alike[good], kind="stable")]:
+                    if comp[k] not in linked and _similar(mine, sets[k], percent):
+                        linked.add(comp[k])
+                        out.append((min(rep, ids[k]), max(rep, ids[k])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return (asks.unionByName(answers).groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct())
+    return stored(asks.unionByName(answers).groupBy("main", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct())
 
 
 def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,13 +247,11 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     heads = spread.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = stored(spread.join(heads, "key"))
     pairs = members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    edges = _confirm(pairs, classes, texts, width, percent)
-    component = components(edges)
-    more = stored(_rest(members.select("key", "rep"), classes, component, percent))
+    sets = _sets(texts, members.select(F.col("rep").alias("id")).distinct(), width)
+    component = components(_confirm(pairs, classes, sets, percent))
+    more = _rest(members.select("key", "rep"), classes, component, sets, percent)
     if not more.isEmpty():
-        found = _confirm(more, classes, texts, width, percent)
-        if not found.isEmpty():
-            component = components(found.union(component.select(F.col("component").alias("a"), F.col("id").alias("b"))))
+        component = components(more.union(component.select(F.col("component").alias("a"), F.col("id").alias("b"))))
     named = classes.select("digest", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", "n_shingles", "digest").join(named, "digest", "left")
