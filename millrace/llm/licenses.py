@@ -7,7 +7,7 @@ lowest probability accepted is calibrated on held-out paragraphs without a licen
 ``FALSE_ALARMS`` of them pass; the rest is ``unknown``. A prediction stands only if the paragraph holds
 enough of one template of its family.
 
-A cue is a stem that every template has; a paragraph without any is no licence. Null and empty
+Cues are stems of which every template has one; a paragraph without any is no licence. Null and empty
 texts have no paragraphs. Everything is DataFrame operations and Spark ML. Ids are answered per
 row; repeated rows are answered each.
 """
@@ -27,7 +27,7 @@ TEMPLATES = {
                "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
                "Distributed under the terms of the Apache License 2.0."],
     "bsd": ["Licensed under the BSD 3-Clause License.", "This software is released under the BSD License.",
-            "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD license provided that the following conditions are met."],
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
@@ -36,7 +36,7 @@ TEMPLATES = {
     "lgpl": ["Licensed under the GNU Lesser General Public License, version 3.",
              "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License."],
     "mit": ["Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the terms of the MIT license.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, under the MIT license."],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"],
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."],
 }
 UNKNOWN = "unknown"
@@ -48,7 +48,7 @@ OTHER = ["All rights reserved, no license is granted.", "The license of this wor
          "The free version has no license key.", "Creative work under pressure is common.", "The general public is invited.",
          "This work is the result of a long study.", "A license fee is due under the contract.", "Terms and conditions apply, see the license page.",
          "The source of the river is in the hills.", "Under the bridge the water was cold.", "Distributed across the country by rail."]
-CUES = r"(?i)licen[cs]"
+CUES = r"(?i)licen[cs]|redistribut|permission is hereby granted"
 CONFIRMED = 0.75
 FALSE_ALARMS = 0.01
 
