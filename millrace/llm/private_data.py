@@ -19,6 +19,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.llm import arrays
 from millrace.llm.shared import prepared
 
 BASE = ("email", "ip", "card", "phone")
@@ -34,7 +35,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"(?:https?|ftp)://[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?(?:/[^\s\"'<>]*)?", re.I)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"(?:\s+(?:no\.?|number|id))?\s*[:=#]?\s*[\"']?([A-Za-z0-9_-]{8,})", re.I)
+_ACCOUNT = re.compile(r"(?:\s++(?:no\.?|number|id))?\s*+[:=#]?\s*+[\"']?([A-Za-z0-9_-]{8,})", re.I)
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -61,6 +62,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    digits = digits.lstrip("0")  # numbers of over 4300 digits can't be read
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def _mod97(text: str) -> bool:
     moved = text[4:] + text[:4]
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
@@ -102,7 +108,7 @@ def spans_of(text: str, anchors: ahocorasick.Automaton) -> dict[str, list[tuple[
                 hit = _IP.match(text, start)
                 if hit:
                     done["ip"] = hit.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in hit.group().split(".")):
+                    if all(_octet(p) for p in hit.group().split(".")):
                         out["ip"].append(hit.span())
         elif kind == "url":
             hit = _URL.match(text, at) if at >= done["url"] else None
@@ -155,7 +161,7 @@ def detect(docs: DataFrame, redact: bool = False, text_col: str = "text") -> Dat
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = automaton()
-        for batch in batches:
+        for batch in arrays.pieces(batches, "text"):
             found, clean = [], []
             for text in batch.column("text").to_pylist():
                 spans = spans_of(text or "", anchors)

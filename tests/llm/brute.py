@@ -48,7 +48,7 @@ def base_spans(text: str | None) -> str:
     for kind, pattern in PATTERNS.items():
         for m in re.finditer(pattern, text or ""):
             digits = re.sub(r"[^0-9]", "", m.group())
-            if (kind == "ip" and any(int(p) > 255 for p in m.group().split("."))
+            if (kind == "ip" and any(int(p.lstrip("0")[:4] or "0") > 255 for p in m.group().split("."))
                     or kind == "card" and not (13 <= len(digits) <= 19 and _luhn(digits))
                     or kind == "phone" and not 9 <= len(digits) <= 15):
                 continue
