@@ -71,6 +71,29 @@ def op5_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies.near_copies(_table(spark, folder, "documents"), width=3, percent=85).withColumnRenamed("id", "doc_id")
 
 
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM words),
+classes AS MATERIALIZED (SELECT min(doc_id) AS rep, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+shingles AS MATERIALIZED (SELECT rep, len(s) AS n, unnest(s) AS shingle FROM classes),
+links AS MATERIALIZED (
+  SELECT a.rep AS a, b.rep AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rep < b.rep
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS MATERIALIZED (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS x, rep AS y FROM classes UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y),
+component AS (SELECT x AS rep, min(y) AS component_id FROM reach GROUP BY x),
+named AS (SELECT classes.s AS s, component_id FROM classes JOIN component USING (rep))
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN named ON list_sort(named.s) = list_sort(sets.s) AND len(sets.s) > 0
+"""
+
+
 def op6_private_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document."""
     found = private_data.detect(_table(spark, folder, "documents").select("doc_id", "text"))
@@ -111,4 +134,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_mix, op3_languages, op4_chats, op5_near_copies, op6_private_data,
                                    op7_toxicity, op8_quality, op9_licenses, op10_fingerprints, pipeline)}
-ORACLES = {"op4_chats": OP4_SQL}
+ORACLES = {"op4_chats": OP4_SQL, "op5_near_copies": OP5_SQL}

@@ -86,6 +86,13 @@ def test_near_copies_query(spark, docs):
     assert got.component_id.to_dict() == want and got.n_shingles.to_dict() == sizes
 
 
+@pytest.mark.parametrize("folder", [SMALL, SMALL.replace("sf0.001", "sf0.01")])
+def test_near_copies_query_is_its_sql(spark, folder):
+    from oracle import compare, connect
+
+    assert compare(queries.op5_near_copies(spark, folder).toPandas(), connect(folder).execute(queries.OP5_SQL).df()) is None
+
+
 def test_estimate_is_near_the_similarity(spark):
     a = np.unique(arrays.factors(800, 1))
     b = np.concatenate([a[:720], arrays.factors(80, 9)])
