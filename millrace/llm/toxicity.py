@@ -1,12 +1,13 @@
 """Toxic text by a classifier chain.
 
-Categories are predicted one after the other by linear models over words and word beginnings;
+Categories are predicted one after the other by linear models over words and word beginnings (and
+whether several words share one, as inflected forms do);
 each model also gets the probabilities of the categories before it. In training those are
 out-of-fold predictions, so a model never sees what its predecessors memorised.
 
 The models are fitted on at most ``sample`` labelled documents, taken in hash order of their
-ids; features are the words that differ most between the classes of a category. Every whole
-text is scored. Null and empty texts have no features and are never toxic. Null labels, null ids
+ids, of near copies with the same labels on one; features are the words that differ most between
+the classes of a category. Every whole text is scored. Null and empty texts have no features and are never toxic. Null labels, null ids
 and ids without a document are not learned from; a repeated labelled row counts once. Without
 labels of a category its probability is that of the class seen, near 0 if there is none.
 """
@@ -29,8 +30,10 @@ FEATURES = 1_200
 FOLDS = 3
 LEAST_TEXTS = 4
 """Texts a word must be in to become a feature."""
-CLEAR = 6.0
-"""Standard errors by which its shares in the two classes must differ."""
+FALSE_WORDS = 0.05
+"""Words expected to become features by chance, of all that are tested."""
+COPY_BANDS, COPY_ROWS, COPIES = 8, 4, 0.7
+"""Labelled texts that share this much of their words are copies and learned from once."""
 SEVERE = 4
 """Toxic texts with so many different telling words count as severe."""
 
@@ -44,23 +47,36 @@ class Chain:
     """Probability of ``toxic`` from which a text is rejected."""
 
 
+def _counted(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct (text, hash), and how often it occurs."""
+    order = np.lexsort((hashes, text))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])
+    begin = np.flatnonzero(new)
+    return order[begin], np.diff(np.append(begin, len(order)))
+
+
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, hash) of the words and of their first 5 and 6 bytes."""
+    """Distinct (text number, hash) of the words, of their first 5 and 6 bytes, and of such a
+    beginning with 2 and with 3 where so many different words of the text have it."""
     data, offsets = arrays.flat(column)
     data = arrays.lower_latin(data)
     starts, ends, text = arrays.word_spans(data, offsets, arrays.NOT_WORD)
-    hashes = [arrays.span_hashes(data, starts, ends, 21)]
-    texts = [text]
+    whole = arrays.span_hashes(data, starts, ends, 21)
+    place, _ = _counted(text, whole)
+    starts, ends, text = starts[place], ends[place], text[place]
+    hashes, texts = [whole[place]], [text]
     for width in (5, 6):
         long = ends - starts > width
-        hashes.append(arrays.span_hashes(data, starts[long], starts[long] + width, 21 + width))
-        texts.append(text[long])
+        begin = arrays.span_hashes(data, starts[long], starts[long] + width, 21 + width)
+        place, count = _counted(text[long], begin)
+        for least in (1, 2, 3):
+            some = place[count >= least]
+            hashes.append(begin[some] if least == 1 else arrays.mix(begin[some] + np.uint64(least)))
+            texts.append(text[long][some])
     hashes, texts = np.concatenate(hashes), np.concatenate(texts)
     order = np.lexsort((hashes, texts))
-    hashes, texts = hashes[order], texts[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
-    return texts[new], hashes[new]
+    return texts[order], hashes[order]
 
 
 def _dense(text: np.ndarray, hashes: np.ndarray, rows: int, features: np.ndarray) -> np.ndarray:
@@ -73,16 +89,19 @@ def _dense(text: np.ndarray, hashes: np.ndarray, rows: int, features: np.ndarray
 
 
 def _telling(names: np.ndarray, place: np.ndarray, text: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words (``names``, at ``place`` of each text) whose share differs clearly between the classes, and the standard errors."""
+    """Words (``names``, at ``place`` of each text) whose share differs clearly between the classes, and the signed root of its likelihood ratio."""
     n, n1 = len(y), float(y.sum())
     if not 0 < n1 < n:
         return names[:0], np.zeros(0)
-    all_of = np.bincount(place, minlength=len(names))
-    pos = np.bincount(place[y[text] > 0], minlength=len(names))
-    share = all_of / n
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / (n - n1)))
-    z = (pos / n1 - (all_of - pos) / (n - n1)) / error
-    keep = (all_of >= LEAST_TEXTS) & (np.abs(z) >= CLEAR)
+    all_of = np.bincount(place, minlength=len(names)).astype(np.float64)
+    pos = np.bincount(place[y[text] > 0], minlength=len(names)).astype(np.float64)
+    neg = all_of - pos
+    # a log-likelihood ratio, as rare words are far from normal
+    gain = sum(seen * np.log(np.maximum(seen, 1e-12) / np.maximum(usual, 1e-12)) for seen, usual in (
+        (pos, all_of * n1 / n), (neg, all_of * (n - n1) / n), (n1 - pos, (n - all_of) * n1 / n), (n - n1 - neg, (n - all_of) * (n - n1) / n)))
+    z = np.where(pos * n >= all_of * n1, 1.0, -1.0) * np.sqrt(2.0 * np.maximum(gain, 0.0))
+    tested = all_of >= LEAST_TEXTS
+    keep = tested & (gain >= np.log(max(int(tested.sum()), 1) / FALSE_WORDS))
     return names[keep], z[keep]
 
 
@@ -112,11 +131,36 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
                     [np.frombuffer(w, np.uint64) for w in rows["words"].to_pylist()])
 
 
+def distinct_texts(words: Sequence[np.ndarray], labels: Sequence[tuple]) -> np.ndarray:
+    """Places of the texts that are no near copy of an earlier one with the same labels.
+
+    Copies are no evidence of their own: a word that only one group of copies has tells nothing.
+    Texts without words are copies of each other.
+    """
+    factors = arrays.factors(COPY_BANDS * COPY_ROWS, 23)
+    heads: dict[tuple, int] = {}
+    kept = []
+    for k, (own, label) in enumerate(zip(words, labels)):
+        keys: list[tuple] = [(label,)]
+        if len(own):
+            least = np.array([arrays.mix(own * f).min() for f in factors]).reshape(COPY_BANDS, COPY_ROWS)
+            keys = [(label, b, *row.tolist()) for b, row in enumerate(least)]
+        near = {heads[key] for key in keys if key in heads}
+        if any(len(np.intersect1d(own, words[h], True)) >= COPIES * len(np.union1d(own, words[h])) for h in near):
+            continue
+        for key in keys:
+            heads.setdefault(key, k)
+        kept.append(k)
+    return np.array(kept, np.int64)
+
+
 def fit_rows(ids: np.ndarray, toxic: np.ndarray, quality: np.ndarray, words: Sequence[np.ndarray]) -> Chain:
+    toxic, quality = np.nan_to_num(np.asarray(toxic, float)), np.nan_to_num(np.asarray(quality, float), nan=1.0)
+    single = distinct_texts(words, list(zip(toxic.tolist(), quality.tolist())))
+    ids, toxic, quality, words = np.asarray(ids)[single], toxic[single], quality[single], [words[k] for k in single]
     n = len(ids)
     text = np.repeat(np.arange(n, dtype=np.int32), [len(w) for w in words]) if n else np.zeros(0, np.int32)
     hashes = np.concatenate(words) if n else np.zeros(0, np.uint64)
-    toxic, quality = np.nan_to_num(np.asarray(toxic, float)), np.nan_to_num(np.asarray(quality, float), nan=1.0)
     labels = {"junk": (quality < 0.5).astype(np.float32), "toxic": (toxic > 0.5).astype(np.float32)}
     chosen: dict[int, float] = {}
     telling: dict[str, tuple[np.ndarray, np.ndarray]] = {}

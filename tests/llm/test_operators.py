@@ -342,6 +342,24 @@ def test_toxicity_held_out(spark, docs):
     assert (got[got.toxic == 0].rejected).mean() <= 0.02 and toxic.rejected.mean() >= 0.5
 
 
+def test_copies_are_learned_from_once():
+    rng = np.random.default_rng(8)
+    base = [np.unique(rng.integers(0, 1 << 62, 200).astype(np.uint64)) for _ in range(3)]
+    near = np.union1d(base[0][:-6], rng.integers(0, 1 << 62, 6).astype(np.uint64))
+    none = np.zeros(0, np.uint64)
+    words, labels = [base[0], base[1], near, near, base[2], none, none], [(1, 0), (0, 1), (1, 0), (0, 1), (1, 0), (0, 1), (0, 1)]
+    # a copy with other labels is a text of its own; texts without words are copies of each other
+    assert toxicity.distinct_texts(words, labels).tolist() == [0, 1, 3, 4, 5]
+    assert len(toxicity.distinct_texts([], [])) == 0
+
+
+def test_beginnings_that_words_share():
+    texts = pa.array(["bomentera bomentera", "bomentera bomente", "bomentera bomente bomentemi", None, ""])
+    text, _ = toxicity.words_of(texts)
+    # words, beginnings of 5 and 6 bytes, those that two words share, those that three share
+    assert np.bincount(text, minlength=5).tolist() == [1 + 2, 2 + 2 + 2, 3 + 2 + 2 + 2, 0, 0]
+
+
 def test_toxicity_edges(spark, edges, none):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (4, 0, 1), (None, 1, 1), (77, 1, 1), (6, None, None), (8, None, 1)], "doc_id bigint, quality int, toxic int")
     for given in (labels, empty_labels(spark)):
