@@ -152,6 +152,25 @@ def test_leaks_copies_and_paraphrases(spark, docs):
     assert want <= got and got <= want | hosted
 
 
+def test_leaks_of_many_short_items(spark, docs):
+    rng = random.Random(4)
+    pool = [re.findall(r"\w+", t) for t in docs.text if t and len(t.split()) > 150]
+    items = []
+    for k in range(1000):
+        words, size = rng.choice(pool), rng.randrange(5, 11)
+        at = rng.randrange(len(words) - size)
+        items.append((k, " ".join(words[at:at + size])))
+    rows, want = [], set()
+    for k, text in items:  # each one once, verbatim, in a text of common letters
+        host = rng.choice(pool)[:120]
+        cut = rng.randrange(len(host))
+        rows.append((k, " ".join(host[:cut] + [text] + host[cut:])))
+        want.add((k, k))
+    found = decontamination.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r.id, r.item_id) for r in found.where("share = 1").collect()}
+    assert not want - got
+
+
 def test_leaks_query(spark, docs):
     import re
 
