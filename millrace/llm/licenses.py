@@ -5,7 +5,8 @@ the templates of the licence families; a logistic regression over these sparse c
 templates, cut templates and paragraphs of other licensing talk, gives family probabilities. The
 lowest probability accepted is calibrated on held-out paragraphs without a licence, so that at most
 ``FALSE_ALARMS`` of them pass; the rest is ``unknown``. A prediction stands only if the paragraph holds
-enough of one template of its family.
+enough of one template of its family. A notice wrapped over several lines is found in a line joined with
+the end of those before it, and stands if neither of the two holds it alone.
 
 Cues are stems of which every template has one; a paragraph without any is no licence. Null and empty
 texts have no paragraphs. Everything is DataFrame operations and Spark ML. Ids are answered per
@@ -50,6 +51,9 @@ OTHER = ["All rights reserved, no license is granted.", "The license of this wor
          "The source of the river is in the hills.", "Under the bridge the water was cold.", "Distributed across the country by rail."]
 CUES = r"(?i)licen[cs]|redistribut|permission is hereby granted"
 CONFIRMED = 0.75
+RUN_LINES = 12
+RUN_CHARS = 500
+"""Lines and characters before a line that are read with it; the longest template has about 210 characters."""
 FALSE_ALARMS = 0.01
 
 
@@ -70,6 +74,11 @@ def _constant(values: list[str]) -> Column:
     return F.split(F.lit("\n".join(values)), "\n")
 
 
+def array_known(tokens: Column, vocabulary: list[str]) -> Column:
+    """The n-grams of the words that are in the vocabulary."""
+    return F.array_intersect(ngrams(tokens), _constant(vocabulary))
+
+
 class LicenseModel:
     """Vocabulary of template n-grams, the fitted regression, the calibrated threshold."""
 
@@ -94,29 +103,49 @@ class LicenseModel:
         self.threshold = max(0.3, held.agg(F.percentile(best, F.lit(1.0 - FALSE_ALARMS))).first()[0] or 0.0)
 
     def _described(self, frame: DataFrame) -> DataFrame:
-        own = _constant(self.vocabulary)
         rest = [c for c in frame.columns if c != "w"]
-        return self.counts.transform(frame.select(*rest, F.array_intersect(ngrams(F.col("w")), own).alias("shared")))
+        return self.counts.transform(frame.select(*rest, array_known(F.col("w"), self.vocabulary).alias("shared")))
 
     def scan(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, paragraph, family, probability, held, text) of every paragraph with a cue.
+        """(id, paragraph, family, probability, held, text) of every paragraph with a cue or a licence.
 
-        ``held`` is the largest share of a template of the family that the paragraph holds.
+        ``held`` is the largest share of a template of the family that the paragraph holds. A notice
+        wrapped over lines is answered at the line that completes it.
         """
-        lines = docs.where(F.col(text_col).rlike(CUES)).select(
-            F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), r"\n+")).alias("paragraph", "text")).where(F.col("text").rlike(CUES))
-        scored = self.regression.transform(self._described(lines.select("id", "paragraph", "text", words(F.col("text")).alias("w"))))
-        p = vector_to_array("probability")
-        families = len(self.names) - 1
-        best = F.array_max(F.slice(p, 1, families))
-        name = F.element_at(F.array(*[F.lit(n) for n in self.names]), F.array_position(F.slice(p, 1, families), best).cast("int"))
-        scored = scored.select("id", "paragraph", "text", "shared", best.alias("probability"), name.alias("guess"))
-        held = F.greatest(F.lit(0.0), *[
-            F.when(F.col("guess") == family, F.size(F.array_intersect(F.col("shared"), _constant(grams))) / F.lit(float(len(grams))))
+        lines = F.split(F.col(text_col).cast("string"), r"\n+")
+        # a line and the end of the lines before it: whoever wraps a notice, its last line completes it
+        ends = F.transform(lines, lambda t: F.right(t, F.lit(RUN_CHARS)))
+        runs = F.transform(lines, lambda t, i: F.struct(t.alias("text"), F.right(F.array_join(F.slice(
+            ends, F.greatest(i - RUN_LINES + 1, F.lit(1)), F.least(i, F.lit(RUN_LINES))), "\n"), F.lit(RUN_CHARS)).alias("before")))
+        found = docs.where(F.col(text_col).rlike(CUES)).select(F.col(id_col).alias("id"), F.posexplode(runs).alias("paragraph", "run")).select(
+            "id", "paragraph", "run.text", "run.before", F.concat_ws("\n", "run.before", "run.text").alias("joined")).where(F.col("joined").rlike(CUES))
+        # stored between the steps, so that no step's expressions are repeated within the next
+        alone = stored(self._guessed(stored(found), "text", "line"))
+        both = stored(self._guessed(alone, "joined", "run"))
+        both = stored(both.withColumn("w", words(F.col("before")))).withColumn("known", array_known(F.col("w"), self.vocabulary))
+        done = F.greatest(self._held(F.col("run.guess"), F.col("known")), self._held(F.col("run.guess"), F.col("line.shared")))
+        run_sure = (F.col("run.probability") >= self.threshold) & (F.col("run.held") >= CONFIRMED) & (done < CONFIRMED)
+        line_sure = (F.col("line.probability") >= self.threshold) & (F.col("line.held") >= CONFIRMED)
+        named = both.withColumn("line_sure", line_sure).withColumn("run_sure", ~F.col("line_sure") & run_sure)
+        best = F.when(F.col("run_sure"), F.col("run")).otherwise(F.col("line"))
+        return named.where(F.col("run_sure") | F.col("text").rlike(CUES)).select(
+            "id", "paragraph", F.when(F.col("run_sure") | F.col("line_sure"), best["guess"]).otherwise(UNKNOWN).alias("family"),
+            best["probability"].alias("probability"), best["held"].alias("held"), F.when(F.col("run_sure"), F.col("joined")).otherwise(F.col("text")).alias("text"))
+
+    def _held(self, guess: Column, shared: Column) -> Column:
+        """The largest share of a template of the guessed family among the n-grams."""
+        return F.greatest(F.lit(0.0), *[
+            F.when(guess == family, F.size(F.array_intersect(shared, _constant(grams))) / F.lit(float(len(grams))))
             for family, grams in self.known])
-        scored = scored.withColumn("held", held)
-        sure = (F.col("probability") >= self.threshold) & (F.col("held") >= CONFIRMED)
-        return scored.select("id", "paragraph", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability", "held", "text")
+
+    def _guessed(self, frame: DataFrame, text: str, out: str) -> DataFrame:
+        """The frame with a struct ``out``: n-grams shared with templates, best family, its probability, share held."""
+        kept = frame.columns
+        scored = self.regression.transform(self._described(frame.select(*kept, words(F.col(text)).alias("w"))))
+        p = F.slice(vector_to_array("probability"), 1, len(self.names) - 1)
+        name = F.element_at(F.array(*[F.lit(n) for n in self.names]), F.array_position(p, F.array_max(p)).cast("int"))
+        scored = stored(scored.select(*kept, "shared", F.array_max(p).alias("p"), name.alias("guess")))
+        return scored.select(*kept, F.struct("shared", F.col("p").alias("probability"), "guess", self._held(F.col("guess"), F.col("shared")).alias("held")).alias(out))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

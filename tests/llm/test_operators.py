@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import time
 
 import numpy as np
@@ -432,6 +433,29 @@ def test_licenses(spark, edges, none):
     assert not [t for family in licenses.TEMPLATES.values() for t in family if not re.search(licenses.CUES, t)]
 
 
+GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+       "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+
+
+def test_wrapped_licenses(spark):
+    notices = {"gpl": GPL, **{f: max(licenses.TEMPLATES[f], key=len) for f in ("apache", "bsd", "lgpl", "mit", "mpl")}}
+    rows, want = [], {}
+    for width in (40, 60, 72, 80):
+        for mark in ("", "# ", " * ", "// "):
+            for family, notice in notices.items():
+                rows.append((len(rows), "Some words first.\n" + "\n".join(mark + t for t in textwrap.wrap(notice, width)) + "\nMore of it.\nAnd the end."))
+                want[rows[-1][0]] = family
+    rows.append((len(rows), "Released under the MIT License.\n" + "\n".join(textwrap.wrap(GPL, 72))))
+    want[rows[-1][0]] = "gpl,mit"
+    model = licenses.LicenseModel(spark)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = model.scan(frame).where(F.col("family") != licenses.UNKNOWN).collect()
+    got = {}
+    for r in known:
+        got.setdefault(r.id, []).append(r.family)
+    assert {i: ",".join(sorted(f)) for i, f in got.items()} == want  # each notice once
+
+
 # --- fingerprints
 
 def test_fingerprint_query(spark, docs):
