@@ -1,6 +1,6 @@
 """Licences named in documents, by a trained paragraph classifier.
 
-Paragraphs (lines) with a licensing cue are described by the word n-grams (1 to 3) they share with
+Paragraphs (lines) with a licensing cue or three words running of a template are described by the word n-grams (1 to 3) they share with
 the templates of the licence families; a logistic regression over these sparse counts, trained on
 templates, cut templates and paragraphs of other licensing talk, gives family probabilities. The
 lowest probability accepted is calibrated on held-out paragraphs without a licence, so that at most
@@ -8,13 +8,15 @@ lowest probability accepted is calibrated on held-out paragraphs without a licen
 enough of one template of its family. A notice wrapped over several lines is found in a line joined with
 the end of those before it, and stands if neither of the two holds it alone.
 
-Cues are stems of which every template has one; a paragraph without any is no licence. Null and empty
+Paragraphs with a cue are always answered, others if the classifier takes them for a licence. Null and empty
 texts have no paragraphs. Everything is DataFrame operations and Spark ML. Ids are answered per
 row; repeated rows are answered each.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -57,6 +59,21 @@ RUN_CHARS = 500
 FALSE_ALARMS = 0.01
 
 
+def _named() -> str:
+    """A pattern of the three-word runs of the templates, by their first words."""
+    runs: dict[str, set[str]] = {}
+    gap = r"[^\p{L}\p{N}]+"
+    for text in (t for family in TEMPLATES.values() for t in family):
+        w = re.findall(r"\w+", text.lower())
+        for first, *rest in zip(w, w[1:], w[2:]):
+            runs.setdefault(first, set()).add(gap.join(rest))
+    return r"(?i)\b(?:" + "|".join(f"{first}{gap}(?:{'|'.join(sorted(rest))})" for first, rest in sorted(runs.items())) + r")\b"
+
+
+NAMED = _named()
+"""What holds enough of a template shares three words running with it."""
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
@@ -107,7 +124,7 @@ class LicenseModel:
         return self.counts.transform(frame.select(*rest, array_known(F.col("w"), self.vocabulary).alias("shared")))
 
     def scan(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, paragraph, family, probability, held, text) of every paragraph with a cue or a licence.
+        """(id, paragraph, family, probability, held, text) of every paragraph with a cue or a likely licence.
 
         ``held`` is the largest share of a template of the family that the paragraph holds. A notice
         wrapped over lines is answered at the line that completes it.
@@ -117,8 +134,9 @@ class LicenseModel:
         ends = F.transform(lines, lambda t: F.right(t, F.lit(RUN_CHARS)))
         runs = F.transform(lines, lambda t, i: F.struct(t.alias("text"), F.right(F.array_join(F.slice(
             ends, F.greatest(i - RUN_LINES + 1, F.lit(1)), F.least(i, F.lit(RUN_LINES))), "\n"), F.lit(RUN_CHARS)).alias("before")))
-        found = docs.where(F.col(text_col).rlike(CUES)).select(F.col(id_col).alias("id"), F.posexplode(runs).alias("paragraph", "run")).select(
-            "id", "paragraph", "run.text", "run.before", F.concat_ws("\n", "run.before", "run.text").alias("joined")).where(F.col("joined").rlike(CUES))
+        found = docs.where(F.col(text_col).rlike(CUES) | F.col(text_col).rlike(NAMED)).select(F.col(id_col).alias("id"), F.posexplode(runs).alias("paragraph", "run")).select(
+            "id", "paragraph", "run.text", "run.before", F.concat_ws("\n", "run.before", "run.text").alias("joined")).where(
+            F.col("joined").rlike(CUES) | F.col("joined").rlike(NAMED))
         # stored between the steps, so that no step's expressions are repeated within the next
         alone = stored(self._guessed(stored(found), "text", "line"))
         both = stored(self._guessed(alone, "joined", "run"))
@@ -128,7 +146,8 @@ class LicenseModel:
         line_sure = (F.col("line.probability") >= self.threshold) & (F.col("line.held") >= CONFIRMED)
         named = both.withColumn("line_sure", line_sure).withColumn("run_sure", ~F.col("line_sure") & run_sure)
         best = F.when(F.col("run_sure"), F.col("run")).otherwise(F.col("line"))
-        return named.where(F.col("run_sure") | F.col("text").rlike(CUES)).select(
+        likely = F.col("text").rlike(NAMED) & (F.col("line.probability") >= self.threshold)
+        return named.where(F.col("run_sure") | F.col("line_sure") | F.col("text").rlike(CUES) | likely).select(
             "id", "paragraph", F.when(F.col("run_sure") | F.col("line_sure"), best["guess"]).otherwise(UNKNOWN).alias("family"),
             best["probability"].alias("probability"), best["held"].alias("held"), F.when(F.col("run_sure"), F.col("joined")).otherwise(F.col("text")).alias("text"))
 
@@ -149,7 +168,7 @@ class LicenseModel:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_paragraphs, n_unknown, families) of every document that has a paragraph with a cue."""
+    """(id, n_paragraphs, n_unknown, families) of every document that has a paragraph with a cue or a likely licence."""
     found = LicenseModel(docs.sparkSession).scan(docs, id_col, text_col)
     return found.groupBy("id").agg(F.count("*").alias("n_paragraphs"), F.count_if(F.col("family") == UNKNOWN).alias("n_unknown"),
                                    F.array_join(F.array_sort(F.collect_set(F.when(F.col("family") != UNKNOWN, F.col("family")))), ",").alias("families"))

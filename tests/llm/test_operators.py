@@ -456,6 +456,12 @@ def test_wrapped_licenses(spark):
     assert {i: ",".join(sorted(f)) for i, f in got.items()} == want  # each notice once
 
 
+def test_licenses_without_a_cue(spark):
+    texts = ["Text available under CC BY-SA 4.0.", "Photographs are under CC\nBY-NC 4.0 as ever.", "The terms of the peace were hard.", "Under CC rules."]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.id: r.families for r in found} == {0: "cc-by-sa", 1: "cc-by-nc"}
+
+
 # --- fingerprints
 
 def test_fingerprint_query(spark, docs):
