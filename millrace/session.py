@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,20 @@ def local_session(app: str = "millrace", cores: str = "*", partitions: int = 8)
     return tuned(spark)
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send the package to the Python workers, once for each Spark context.
+
+    Functions are pickled by reference, so workers must be able to import it wherever they run.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_millrace_shipped", False):
+        folder = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="run-"), "millrace_code")
+        context.addPyFile(shutil.make_archive(target, "zip", folder, "millrace"))  # served to the executors by the driver
+        context._millrace_shipped = True
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
 
