@@ -1,10 +1,10 @@
 """Boosted trees from histograms of gradients and curvatures.
 
-Columns are cut into quantile bins once; a row is stored as one byte per column, its label, its fold and its
-margins. Each level of a tree is one job: tasks sum gradients and curvatures of their rows by (node,
-column, bin), the sums are added by a shuffle, window functions find every node's best split, and one
-row per node comes to the driver. Leaves take Newton steps with an L2 penalty. Missing values (null, NaN)
-have a bin of their own and go to the side where they gain more.
+Columns are cut into quantile bins once; rows are packed into blocks, one record per block, with one byte per
+row and column, the labels, the folds and the margins. Each level of a tree is one job: tasks sum gradients and
+curvatures of their rows by (node, column, bin), the sums are added (by a shuffle, or on the driver while they are
+few), and the best split of every node comes to the driver. Leaves take Newton steps with an L2 penalty.
+Missing values (null, NaN) have a bin of their own and go to the side where they gain more.
 
 Several models grow in lockstep over the same rows: model m leaves out the rows of fold m. Their nodes are
 told apart by number, so the jobs per round do not depend on the number of models. Trees are applied to
@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.metrics import roc_auc
 from millrace.session import scratch_folder, shipped
@@ -34,7 +34,12 @@ MISSING = 255
 MOST_BINS = 254
 REFRESH = 8
 CELLS = 2_000_000
-"""Sums a task keeps; with more of them they are passed on with every batch."""
+"""Sums a task keeps; with more of them they are passed on with every block."""
+DRIVER_BYTES = 32 << 20
+"""Sums of all tasks together that are added on the driver; more of them are shuffled."""
+SCORES = 200_000
+"""Distinct scores whose area is found on the driver."""
+BLOCK_ROWS, BLOCK_BYTES = 16_384, 4 << 20
 SCALE_BITS = 30
 TOP_BITS = 61
 
@@ -149,25 +154,21 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """A binary column of ``width`` bytes per row."""
-    _, offsets, data = column.buffers()
-    if not len(column) or width == 0:
-        return np.zeros((len(column), width), np.uint8)
-    ends = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[ends[0]: ends[-1]].reshape(len(column), width)
-
-
 def _lists(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-_ROW = "draw bigint, bins binary, label double, fold int, margins array<double>"
+PARTS = {"draw": np.uint64, "bins": np.uint8, "label": np.float64, "fold": np.int32, "margins": np.float64}
+_ROW = ", ".join(f"{name} binary" for name in PARTS)
+
+
+def _packed(parts: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(parts[n], t).tobytes()], pa.binary()) for n, t in PARTS.items()], list(PARTS))
 
 
 @dataclass
 class _State:
-    """Stored rows and the rounds that their margins do not hold yet."""
+    """Stored blocks of rows and the rounds that their margins do not hold yet."""
 
     rows: DataFrame
     models: int
@@ -175,14 +176,19 @@ class _State:
     settings: Settings
     pending: list[list[Tree]] = field(default_factory=list)
 
-    def read(self, batch: pa.RecordBatch):
-        """(draws, bins, labels, folds, margins) of a batch, pending trees added."""
-        bins = _matrix(batch.column("bins"), self.features)
-        margins = _lists(batch.column("margins"), self.models).copy()
-        for trees in self.pending:
-            for m, tree in enumerate(trees):
-                margins[:, m] += tree.values(bins)
-        return (batch.column("draw").to_numpy(), bins, batch.column("label").to_numpy(), batch.column("fold").to_numpy(), margins)
+    def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        """The columns of each block, pending trees added to the margins."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = {n: np.frombuffer(batch.column(n)[i].as_buffer(), t) for n, t in PARTS.items()}
+                rows = len(block["label"])
+                block["bins"] = block["bins"].reshape(rows, self.features)
+                margins = block["margins"].reshape(rows, self.models).copy()
+                for trees in self.pending:
+                    for m, tree in enumerate(trees):
+                        margins[:, m] += tree.values(block["bins"])
+                block["margins"] = margins
+                yield block
 
 
 def _light(state: _State) -> _State:
@@ -190,77 +196,127 @@ def _light(state: _State) -> _State:
     return replace(state, rows=None)
 
 
+_SUMS = "front int, feature int, sums binary"
+
+
 def _histograms(state: _State, trees: list[Tree], fronts: list[tuple[int, int]], columns: list[int], number: int, scale: float) -> DataFrame:
-    """(front, feature, bin, g, h): sums of the training rows of every open node."""
+    """(front, feature, sums): for every open node and column the sums of gradients and of curvatures by bin."""
     light, settings = _light(state), state.settings
     place = [np.full(len(t.feature), -1) for t in trees]
     for i, (m, node) in enumerate(fronts):
         place[m][node] = i
-    size = len(fronts) * 256
+    width = settings.bins + 1  # the last one for missing values
+    size = len(fronts) * width
 
-    def cells(feature: int, spots: np.ndarray, g: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-        some = (g != 0) | (h != 0)
-        spots = spots[some]
+    def records(feature: int, total: np.ndarray) -> pa.RecordBatch:
+        each = total.reshape(2, len(fronts), width).transpose(1, 0, 2)
+        some = np.flatnonzero((each != 0).any(axis=(1, 2)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(spots // 256, pa.int32()), pa.array(np.full(len(spots), feature), pa.int32()), pa.array(spots % 256, pa.int32()),
-             pa.array(g[some].astype(np.int64)), pa.array(h[some].astype(np.int64))], ["front", "feature", "bin", "g", "h"])
+            [pa.array(some, pa.int32()), pa.array(np.full(len(some), feature), pa.int32()), pa.array([each[i].tobytes() for i in some], pa.binary())],
+            ["front", "feature", "sums"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = size * len(columns) <= CELLS
-        total = np.zeros((2, len(columns), size), np.int64) if keep else None
-        for batch in batches:
-            draws, bins, label, fold, margins = light.read(batch)
-            drawn = row_draws(draws.astype(np.int64).view(np.uint64), settings.seed, number) < settings.row_share
+        total = np.zeros((len(columns), 2, size), np.int64) if keep else None
+        for block in light.blocks(batches):
+            drawn = row_draws(block["draw"], settings.seed, number) < settings.row_share
             for m, tree in enumerate(trees):
-                rows = np.flatnonzero((fold != m) & drawn)
-                mine = bins[rows]
+                rows = np.flatnonzero((block["fold"] != m) & drawn)
+                mine = block["bins"][rows]
                 front = place[m][tree.leaves(mine)]
                 open_ = front >= 0
                 rows, mine, front = rows[open_], mine[open_], front[open_]
                 if not len(rows):
                     continue
-                g, h = (np.rint(v * scale) for v in gradients(settings.objective, label[rows], margins[rows, m]))
+                values = [np.rint(v * scale) for v in gradients(settings.objective, block["label"][rows], block["margins"][rows, m])]
                 for k, feature in enumerate(columns):
-                    spots = front * 256 + mine[:, feature]
+                    spots = front * width + np.minimum(mine[:, feature], settings.bins)
+                    one = np.stack([np.bincount(spots, v, size).astype(np.int64) for v in values])
                     if keep:
-                        total[0, k] += np.bincount(spots, g, size).astype(np.int64)
-                        total[1, k] += np.bincount(spots, h, size).astype(np.int64)
+                        total[k] += one
                     else:
-                        some, back = np.unique(spots, return_inverse=True)
-                        yield cells(feature, some, np.bincount(back, g), np.bincount(back, h))
+                        yield records(feature, one)
         if keep:
             for k, feature in enumerate(columns):
-                yield cells(feature, np.arange(size), total[0, k], total[1, k])
+                yield records(feature, total[k])
 
-    parts = state.rows.mapInArrow(work, "front int, feature int, bin int, g bigint, h bigint")
-    return parts.groupBy("front", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    return state.rows.mapInArrow(work, _SUMS)
 
 
-def best_splits(cells: DataFrame, settings: Settings, scale: float) -> DataFrame:
-    """(front, g, h, best): totals of every node and its best split, if any cut is allowed.
+def _added(batches: Iterator[pa.RecordBatch] | list[pa.RecordBatch], width: int) -> dict[tuple[int, int], np.ndarray]:
+    """Sums of (front, feature) over all records."""
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for front, feature, sums in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+            value = np.frombuffer(sums, np.int64).reshape(2, width)
+            known = total.get((front, feature))
+            total[front, feature] = value if known is None else known + value
+    return total
 
-    Equal gains go to the first column, the lowest cut and missing values on the left.
-    """
-    node = Window.partitionBy("front", "feature")
-    so_far = node.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    one = F.lit(1.0 / scale)
-    known = F.col("bin") != MISSING
-    rows = cells.select(
-        "front", "feature", "bin",
-        *[(F.sum(c).over(node) * one).alias(c) for c in "gh"], *[(F.sum(c).over(so_far) * one).alias(f"{c}_below") for c in "gh"],
-        *[(F.coalesce(F.sum(F.when(~known, F.col(c))).over(node), F.lit(0)) * one).alias(f"{c}_missing") for c in "gh"])
-    l2 = settings.l2
-
-    def option(side: int) -> Column:
-        gl, hl = (F.col(f"{c}_below") + (F.col(f"{c}_missing") if side else F.lit(0.0)) for c in "gh")
-        gr, hr = F.col("g") - gl, F.col("h") - hl
-        gain = 0.5 * (gl * gl / (hl + l2) + gr * gr / (hr + l2) - F.col("g") * F.col("g") / (F.col("h") + l2)) - settings.least_gain
-        least = max(settings.least_weight, 1.0 / scale)
-        split = F.struct(gain.alias("gain"), (-F.col("feature")).alias("feature"), (-F.col("bin")).alias("cut"), F.lit(side).alias("missing_left"),
-                         gl.alias("gl"), hl.alias("hl"))
-        return F.when(known & (hl >= least) & (hr >= least) & (gain > 0), split)
-
-    return rows.groupBy("front").agg(F.max("g").alias("g"), F.max("h").alias("h"), F.max(F.greatest(option(0), option(1))).alias("best"))
+
+@dataclass(frozen=True)
+class Split:
+    """The best cut of a node; ``feature`` is None if none is allowed. Sums of all its rows and of the left ones."""
+
+    g: float
+    h: float
+    feature: int | None = None
+    gain: float = 0.0
+    cut: int = 0
+    missing_left: bool = True
+    gl: float = 0.0
+    hl: float = 0.0
+
+    def rank(self) -> tuple[bool, float, int]:
+        """Best first; equal gains go to the first column."""
+        return self.feature is None, -self.gain, self.feature or 0
+
+
+def best_split(feature: int, sums: np.ndarray, settings: Settings, scale: float) -> Split:
+    """The best cut of one column from its sums by bin; equal gains go to the lowest cut, missing values to the left."""
+    whole = sums.sum(axis=1) / scale
+    (g, h), l2 = whole, settings.l2
+    below, missing = np.cumsum(sums[:, :-1], axis=1) / scale, sums[:, -1:] / scale
+    left = np.stack([below + missing, below], axis=2).reshape(2, -1)
+    gl, hl = left
+    gr, hr = g - gl, h - hl
+    least = max(settings.least_weight, 1.0 / scale)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = 0.5 * (gl * gl / (hl + l2) + gr * gr / (hr + l2) - g * g / (h + l2)) - settings.least_gain
+    gain = np.where((hl >= least) & (hr >= least) & (gain > 0), gain, 0.0)
+    k = int(gain.argmax())
+    if not gain[k] > 0:
+        return Split(float(g), float(h))
+    return Split(float(g), float(h), feature, float(gain[k]), k // 2, k % 2 == 0, float(gl[k]), float(hl[k]))
+
+
+def _best(total: dict[tuple[int, int], np.ndarray], settings: Settings, scale: float) -> dict[int, Split]:
+    found: dict[int, Split] = {}
+    for (front, feature), sums in sorted(total.items()):
+        split = best_split(feature, sums, settings, scale)
+        if front not in found or split.rank() < found[front].rank():
+            found[front] = split
+    return found
+
+
+def best_splits(parts: DataFrame, tasks: int, fronts: int, columns: int, settings: Settings, scale: float) -> dict[int, Split]:
+    """The best split of every node from the sums of all tasks."""
+    width = settings.bins + 1
+    if tasks * fronts * columns * width * 16 <= DRIVER_BYTES:
+        return _best(_added(parts.toArrow().to_batches(), width), settings, scale)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits = _best(_added(batches, width), settings, scale)
+        yield pa.RecordBatch.from_arrays([pa.array(list(splits), pa.int32()), pa.array([json.dumps(asdict(s)) for s in splits.values()], pa.string())],
+                                         ["front", "split"])
+
+    # one record per partition and node
+    found: dict[int, Split] = {}
+    for r in parts.repartition("front", "feature").mapInArrow(work, "front int, split string").toLocalIterator():
+        split = Split(**json.loads(r["split"]))
+        if r["front"] not in found or split.rank() < found[r["front"]].rank():
+            found[r["front"]] = split
+    return found
 
 
 def grow(state: _State, number: int, scale: float) -> list[Tree]:
@@ -268,22 +324,22 @@ def grow(state: _State, number: int, scale: float) -> list[Tree]:
     settings = state.settings
     columns = drawn_features(state.features, settings.feature_share, settings.seed, number)
     trees = [Tree() for _ in range(state.models)]
+    tasks = state.rows.rdd.getNumPartitions()
     leaf = lambda g, h: -settings.step * g / (h + settings.l2) if h + settings.l2 > 0 else 0.0
     fronts = [(m, 0) for m in range(state.models)]
     for level in range(max(settings.depth, 1)):
-        found = best_splits(_histograms(state, trees, fronts, columns, number, scale), settings, scale).collect()
+        parts = _histograms(state, trees, fronts, columns, number, scale)
         following = []
-        for r in sorted(found, key=lambda r: r["front"]):
-            m, node = fronts[r["front"]]
-            best = r["best"]
+        for i, best in sorted(best_splits(parts, tasks, len(fronts), len(columns), settings, scale).items()):
+            m, node = fronts[i]
             if level == 0:
-                trees[m].value[0] = leaf(r["g"], r["h"])
-            if best is None or settings.depth < 1:
+                trees[m].value[0] = leaf(best.g, best.h)
+            if best.feature is None or settings.depth < 1:
                 continue
-            gr, hr = r["g"] - best["gl"], r["h"] - best["hl"]
-            children = trees[m].split(node, -best["feature"], -best["cut"], bool(best["missing_left"]), best["gain"], (leaf(best["gl"], best["hl"]), leaf(gr, hr)))
+            gr, hr = best.g - best.gl, best.h - best.hl
+            children = trees[m].split(node, best.feature, best.cut, best.missing_left, best.gain, (leaf(best.gl, best.hl), leaf(gr, hr)))
             # a node lighter than two children cannot be split
-            following += [(m, c) for c, h in zip(children, (best["hl"], hr)) if h >= 2 * settings.least_weight]
+            following += [(m, c) for c, h in zip(children, (best.hl, hr)) if h >= 2 * settings.least_weight]
         fronts = following
         if not fronts:
             break
@@ -295,14 +351,15 @@ def scored(state: _State) -> DataFrame:
     light, logistic = _light(state), state.settings.objective == "logistic"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            draws, _, label, fold, margins = light.read(batch)
-            value = margins[np.arange(len(fold)), fold]
+        for block in light.blocks(batches):
+            rows = np.flatnonzero(block["fold"] >= 0)
+            fold = block["fold"][rows]
+            value = block["margins"][rows, fold]
             value = 1.0 / (1.0 + np.exp(-value)) if logistic else value
-            yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(draws, pa.int64()), pa.array(label), pa.array(value)],
+            yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(block["draw"][rows].view(np.int64)), pa.array(block["label"][rows]), pa.array(value)],
                                              ["model", "draw", "label", "prediction"])
 
-    return state.rows.where(F.col("fold") >= 0).mapInArrow(work, "model int, draw bigint, label double, prediction double")
+    return state.rows.mapInArrow(work, "model int, draw bigint, label double, prediction double")
 
 
 Metric = Callable[[DataFrame], DataFrame]
@@ -315,8 +372,17 @@ def column_metric(aggregate: Callable[[Column, Column], Column]) -> Metric:
 
 
 def area_metric(rows: DataFrame) -> DataFrame:
-    """Exact area under the ROC curve."""
-    return roc_auc(rows, "label", "prediction", by=["model"]).withColumnRenamed("auc", "value")
+    """Exact area under the ROC curve, ties counting half."""
+    counts = rows.groupBy("model", "prediction").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") != 1).alias("n"))
+    few = counts.limit(SCORES + 1).toPandas()
+    if len(few) > SCORES:
+        return roc_auc(rows, "label", "prediction", by=["model"]).withColumnRenamed("auc", "value")
+    areas = []
+    for model, part in few.sort_values("prediction").groupby("model"):
+        p, n = part["p"].to_numpy(float), part["n"].to_numpy(float)
+        pairs = p.sum() * n.sum()
+        areas.append((int(model), float((p * (np.cumsum(n) - n / 2)).sum() / pairs) if pairs else None))
+    return rows.sparkSession.createDataFrame(areas, "model int, value double")
 
 
 @dataclass
@@ -396,50 +462,71 @@ class Boosted:
                        [Tree(**rows[i]) for i in sorted(rows)], History(head["scores"], head["larger"]))
 
 
-def _prepared(df: DataFrame, features: Sequence[str], edges: list[np.ndarray], label: str, key: str, fold: Column, start: Column) -> DataFrame:
-    """The stored form of the rows."""
-    inputs = df.select(F.xxhash64(F.col(key).cast("string")).alias("draw"), F.col(label).cast("double").alias("label"), fold.cast("int").alias("fold"),
-                       start.alias("margins"), F.array(*[_number(c) for c in features]).alias("x"))
-    width = len(features)
+def _stored(rows: DataFrame) -> DataFrame:
+    path = scratch_folder(rows.sparkSession)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    return _stored(rows).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _inputs(df: DataFrame, features: Sequence[str], label: str, key: str, fold: Column) -> DataFrame:
+    """(draw, label, fold, x0, x1, ...), stored: read for the bins, the start and the packed form."""
+    columns = [_number(c).alias(f"x{i}") for i, c in enumerate(features)]
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.xxhash64(F.col(key).cast("string")).alias("draw"), F.col(label).cast("double").alias("label"), fold.cast("int").alias("fold"), *columns)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # a small table in a few parts would leave cores idle in every pass
+    return _stored(rows.repartition(cores, "draw") if rows.rdd.getNumPartitions() < cores else rows)
+
+
+def _blocks(inputs: DataFrame, edges: list[np.ndarray], bases: list[float]) -> DataFrame:
+    """The packed form of the rows."""
+    width = len(edges)
+    most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (width + 32)))
+
+    def packed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        column = lambda c: table.column(c).to_numpy()
+        x = np.column_stack([column(f"x{i}").astype(float) for i in range(width)]) if width else np.zeros((table.num_rows, 0))
+        return _packed({"draw": column("draw").view(np.uint64), "bins": binned(x, edges), "label": column("label"), "fold": column("fold"),
+                        "margins": np.tile(bases, (table.num_rows, 1))})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            bins = binned(_lists(batch.column("x"), width).astype(float), edges)
-            ends = np.arange(len(bins) + 1, dtype=np.int32) * width
-            packed = pa.Array.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(ends), pa.py_buffer(bins.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("draw"), packed, batch.column("label"), batch.column("fold"), batch.column("margins")],
-                                             ["draw", "bins", "label", "fold", "margins"])
+            for begin in range(0, batch.num_rows, most):
+                part = batch.slice(begin, most)
+                if rows + part.num_rows > most:
+                    yield packed(held)
+                    held, rows = [], 0
+                held.append(part)
+                rows += part.num_rows
+        if rows:
+            yield packed(held)
 
     return inputs.mapInArrow(work, _ROW)
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    path = scratch_folder(rows.sparkSession)
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _refreshed(state: _State) -> None:
     """Write the margins with the pending trees in them."""
     light = _light(state)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            *_, margins = light.read(batch)
-            column = pa.ListArray.from_arrays(np.arange(len(margins) + 1, dtype=np.int32) * light.models, margins.ravel())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("draw", "bins", "label", "fold")], column],
-                                             ["draw", "bins", "label", "fold", "margins"])
+        for block in light.blocks(batches):
+            yield _packed(block)
 
-    before, state.rows = state.rows, _stored(state.rows.mapInArrow(work, _ROW))
+    before, state.rows = state.rows, _kept(state.rows.mapInArrow(work, _ROW))
     before.unpersist()
     state.pending = []
 
 
-def _bases(df: DataFrame, label: str, fold: Column, models: int, objective: str) -> tuple[list[float], float, int]:
+def _bases(inputs: DataFrame, models: int, objective: str) -> tuple[list[float], float, int]:
     """Starting margin of each model, the largest label distance from it, and the number of rows."""
-    y = F.col(label).cast("double")
-    parts = df.select(y.alias("y"), fold.alias("fold")).groupBy("fold").agg(
-        F.sum("y").alias("sum"), F.count("*").alias("n"), F.min("y").alias("low"), F.max("y").alias("high")).collect()
+    parts = inputs.groupBy("fold").agg(
+        F.sum("label").alias("sum"), F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).collect()
     bases = []
     for m in range(models):
         mine = [r for r in parts if r["fold"] != m]
@@ -458,12 +545,12 @@ def _boost(df: DataFrame, features: Sequence[str], label: str, key: str, fold: C
     if settings.objective not in ("logistic", "squared"):
         raise ValueError(f"unknown objective {settings.objective}")
     features = list(features)
-    df = df.where(F.col(label).isNotNull())
-    edges = start.edges if start else find_edges(df, features, settings.bins)
-    bases, far, count = _bases(df, label, fold, models, settings.objective)
+    inputs = _inputs(df, features, label, key, fold)
+    edges = start.edges if start else find_edges(inputs, [f"x{i}" for i in range(len(features))], settings.bins)
+    bases, far, count = _bases(inputs, models, settings.objective)
     if start:
         bases = [start.base]
-    state = _State(_stored(_prepared(df, features, edges, label, key, fold, F.array(*[F.lit(float(b)) for b in bases]))), models, len(features), settings)
+    state = _State(_kept(_blocks(inputs, edges, [float(b) for b in bases])), models, len(features), settings)
     fitted = [Boosted(settings, features, edges, b) for b in bases]
     history = History(larger=larger)
     if start:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import random
 import warnings
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -16,12 +15,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
     NaiveBayes, OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.functions.hashing import hash_number
+from millrace.operators.extra_trees import ExtraTreesClassifier
 from millrace.operators.metrics import roc_auc
 
 MAX_DEPTH = 30
@@ -99,60 +99,21 @@ def gbt_regression(rounds: int, depth: int, step: float, subsample: float, seed:
     return booster.setValidationIndicatorCol(validation) if validation else booster
 
 
-class ExtraTrees:
-    """Extremely randomised trees: every tree sees its features through random cut points.
+def extra_trees(features: Sequence[str], trees: int, depth: int | None, seed: int, **options) -> Pipeline:
+    """Extremely randomised trees over plain columns; a null is an error. See ``operators/extra_trees.py``."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
+        ExtraTreesClassifier(trees=trees, maxDepth=depth_of(depth), seed=seed, **options)])
 
-    Per tree, ``cuts`` thresholds per feature are drawn uniformly between the feature's
-    extremes; the rows are binned by them (one pass, no shuffle) and one unsampled tree with a
-    random feature subset per node chooses among exactly those thresholds.
-    """
 
-    def __init__(self, trees: int, depth: int | None, seed: int, cuts: int = 8):
-        self.trees, self.depth, self.seed, self.cuts = trees, depth_of(depth), seed, cuts
-
-    def fit(self, df: DataFrame, features: Sequence[str], label: str = "label") -> ExtraTreesModel:
-        bounds = df.agg(*[F.min(c).alias(f"low_{i}") for i, c in enumerate(features)],
-                        *[F.max(c).alias(f"high_{i}") for i, c in enumerate(features)]).first()
-        binned = [f"_bin_{i}" for i in range(len(features))]
-        with kept(df.select(*features, label)) as rows:
-            def grow(number: int) -> PipelineModel:
-                draw = random.Random(self.seed + number)
-                splits = []
-                for i in range(len(features)):
-                    low, high = float(bounds[f"low_{i}"]), float(bounds[f"high_{i}"])
-                    inner = sorted({draw.uniform(low, high) for _ in range(self.cuts)})
-                    splits.append([-float("inf"), *inner, float("inf")])
-                return Pipeline(stages=[
-                    Bucketizer(inputCols=list(features), outputCols=binned, splitsArray=splits,
-                               handleInvalid="error"),
-                    VectorAssembler(inputCols=binned, outputCol="_bins"),
-                    RandomForestClassifier(
-                        featuresCol="_bins", labelCol=label, numTrees=1, bootstrap=False,
-                        featureSubsetStrategy="sqrt", maxDepth=self.depth, seed=self.seed + number,
-                        rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction"),
-                ]).fit(rows)
-
-            members = in_parallel(grow, range(self.trees))
-        return ExtraTreesModel(members, list(features))
-
-
-class ExtraTreesModel:
-    def __init__(self, members: Sequence[PipelineModel], features: Sequence[str]):
-        self.members, self.features = members, features
+class ExtraTrees:
+    """The same with the columns given to ``fit``."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``probability`` (array) and ``prediction``: the mean over trees, no shuffle."""
-        scored, columns = df, df.columns
-        for number, member in enumerate(self.members):
-            scored = member.transform(scored).select(
-                *columns, *[f"_tree_{i}" for i in range(number)],
-                vector_to_array("_probability").alias(f"_tree_{number}"))
-        total = F.col("_tree_0")
-        for number in range(1, len(self.members)):
-            total = F.zip_with(total, F.col(f"_tree_{number}"), lambda a, b: a + b)
-        mean = F.transform(total, lambda v: v / len(self.members))
-        return scored.select(*columns, mean.alias("probability")).withColumn(
-            "prediction", (F.array_position("probability", F.array_max("probability")) - 1).cast("double"))
+    def __init__(self, trees: int, depth: int | None, seed: int, **options):
+        self.make = lambda features, label: extra_trees(features, trees, depth, seed, labelCol=label, **options)
+
+    def fit(self, df: DataFrame, features: Sequence[str], label: str = "label") -> PipelineModel:
+        return self.make(features, label).fit(df)
 
 
 class CalibratedSVM:

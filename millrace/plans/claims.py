@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators import cleaning as C, encoding as E, ensembling as B, models as M, selection as X
-from millrace.operators import tuning as U, windows as W
+from millrace.operators import boosting as G, cleaning as C, encoding as E, ensembling as B, models as M, selection as X
+from millrace.operators import windows as W
 from millrace.operators.metrics import log_loss
 from millrace.operators.relational import columns_of, stack_sources
 from millrace.operators.sampling import sample_exact, split_by_fraction, stratified_folds
@@ -66,8 +67,8 @@ def extra_trees_scores(train: DataFrame, test: DataFrame, key: str, target: str,
     features = _features(train, key, target)
     labelled = train.withColumn("label", F.col(target).cast("double"))
     fit_rows, held = split_by_fraction(labelled, key, 0.6, f"{seed}-hold-out")
-    model = M.ExtraTrees(trees, depth, seed).fit(fit_rows, features)
-    p = F.col("probability")[1]
+    model = M.extra_trees(features, trees, depth, seed, impurity="entropy").fit(fit_rows)
+    p = M.positive_probability()
     loss = model.transform(held).agg(log_loss(F.col("label"), p)).first()[0]
     return model.transform(test).select(key, p.alias("p")), float(loss)
 
@@ -91,16 +92,22 @@ def filtered(train: DataFrame, test: DataFrame, key: str, target: str, cutoff: f
 
 def boosted_scores(train: DataFrame, test: DataFrame, key: str, target: str, cutoff: float = 0.95,
                    rounds: int = 50, folds: int = 3, runs: int = 5, depth: int = 5, step: float = 0.1,
-                   validation_rows: int = 1000, seed: int = 0, increment: int = 10) -> tuple[DataFrame, int]:
-    """(key, p) as the mean over seeded runs, and the number of rounds found by cross validation."""
+                   validation_rows: int = 1000, patience: int = 20, seed: int = 0, increment: int = 10) -> tuple[DataFrame, int]:
+    """(key, p) as the mean over seeded runs, and the number of rounds found by cross validation.
+
+    The folds grow together and stop after ``patience`` rounds without gain.
+    """
     train, test = filtered(train, test, key, target, cutoff)
     features = _features(train, key, target)
-    rows = M.assemble(train.withColumn("label", F.col(target).cast("double")), features, [key, "label"])
-    held = sample_exact(rows.select(key), key, validation_rows, f"{seed}-validation")
-    fit_rows = rows.join(held, key, "left_anti")
+    held = sample_exact(train.select(key), key, validation_rows, f"{seed}-validation")
+    fit_rows = cut_lineage(train.join(held, key, "left_anti").withColumn("label", F.col(target).cast("double")))
+    settings = G.Settings(rounds, depth, step, row_share=0.7, seed=seed)
     folded = stratified_folds(fit_rows, key, "label", folds, seed)
-    best, _ = U.boosting_rounds(folded, M.gbt_binary(rounds, depth, step, 0.7, seed), "fold", folds)
-    stacked = B.seed_runs(fit_rows, M.assemble(test, features, [key]),
-                          lambda s: M.gbt_binary(best, depth, step, 0.7, s), key, runs, seed, increment,
-                          M.positive_probability())
-    return B.average_runs(stacked, key, "p", "run"), best
+    _, history = G.boost_folds(folded, features, "label", key, "fold", folds, settings, G.column_metric(log_loss), patience)
+
+    def run(number: int) -> DataFrame:
+        model = G.boost(fit_rows, features, "label", key, G.replace(settings, rounds=history.best, seed=seed + number * increment))
+        return model.transform(test).select(key, M.positive_probability().alias("p"), F.lit(number).alias("run"))
+
+    parts = M.in_parallel(run, range(runs))
+    return B.average_runs(functools.reduce(DataFrame.unionByName, parts), key, "p", "run"), history.best

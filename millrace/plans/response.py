@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators import encoding as E, models as M, selection as X
+from millrace.operators import boosting as B, encoding as E, models as M, selection as X
 from millrace.operators.relational import columns_of
 from millrace.operators.sampling import sample_exact
 from millrace.session import cut_lineage
@@ -31,12 +31,7 @@ def response_scores(train: DataFrame, test: DataFrame, key: str, target: str, va
     """(key, p), the held-out AUC after every round, and the round used."""
     train, test = coded(train, test, key)
     features = sorted(c for c in train.columns if c not in (key, target))
-    rows = M.assemble(train.withColumn("label", F.col(target).cast("double")), features, [key, "label"])
-    held = sample_exact(rows.select(key), key, validation_rows, f"{seed}-validation")
-    with M.kept(rows.join(held, key, "left_anti")) as fit_rows:
-        model = M.gbt_binary(rounds, depth, step, 0.7, seed, feature_share=0.7).fit(fit_rows)
-    areas = [r["auc"] for r in
-             M.auc_by_round(model, rows.join(held, key, "left_semi"), key).orderBy("round").collect()]
-    best = M.best_round(areas, patience, larger=True)
-    scored = M.rounds_margin(model, M.assemble(test, features, [key]), best, [key])
-    return scored.select(key, (1 / (1 + F.exp(-2 * F.col("margin")))).alias("p")), areas, best
+    held = sample_exact(train.select(key), key, validation_rows, f"{seed}-validation").withColumn("_held", F.lit(True))
+    settings = B.Settings(rounds, depth, step, row_share=0.7, feature_share=0.7, seed=seed)
+    model = B.boost(train.join(held, key, "left"), features, target, key, settings, F.col("_held"), B.area_metric, patience, larger=True)
+    return model.transform(test).select(key, M.positive_probability().alias("p")), model.history.means, model.history.best

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import scalars as S
 from millrace.functions.hashing import hash_fraction
-from millrace.operators import encoding as E, models as M
-from millrace.operators.metrics import rmspe_evaluator
+from millrace.operators import boosting as B, encoding as E, models as M
+from millrace.operators.metrics import rmspe
 from millrace.session import cut_lineage
 
 # Codes of the state holidays.
@@ -42,16 +42,17 @@ def sales_features(sales: DataFrame, store: DataFrame, holidays=tuple(HOLIDAYS),
 
 
 def boosted_sales(train: DataFrame, test: DataFrame, key: str, rounds: int = 100, depth: int = 8,
-                  step: float = 0.1, validation_share: float = 0.4, seed: int = 0) -> tuple[DataFrame, float]:
-    """(key, Sales) from boosting on log sales, and the relative error on held-out rows."""
+                  step: float = 0.1, validation_share: float = 0.4, patience: int = 20, seed: int = 0) -> tuple[DataFrame, float]:
+    """(key, Sales) from boosting on log sales, and the relative error on held-out rows.
+
+    The error is taken after every round and ends the fit after ``patience`` rounds without gain.
+    """
     features = [c for c in train.columns if c not in (key, "Sales", "Customers", "Open") and c in test.columns]
-    rows = M.assemble(train.withColumn("label", F.log1p("Sales")), features, [key, "label"])
-    rows = rows.withColumn("is_valid", hash_fraction(key, f"{seed}-validation") < validation_share)
-    with M.kept(rows) as kept:
-        model = M.gbt_regression(rounds, depth, step, 0.8, seed, validation="is_valid").fit(kept)
-        error = rmspe_evaluator().evaluate(model.transform(kept.where("is_valid")))
-    scored = model.transform(M.assemble(test, features, [key])).select(
-        key, F.expm1("prediction").alias("Sales"))
+    settings = B.Settings(rounds, depth, step, row_share=0.8, objective="squared", seed=seed)
+    held_out = hash_fraction(key, f"{seed}-validation") < validation_share
+    model = B.boost(train.withColumn("_log", F.log1p("Sales")), features, "_log", key, settings, held_out, B.column_metric(rmspe), patience)
+    error = model.history.means[model.history.best - 1]
+    scored = model.transform(test).select(key, F.expm1("prediction").alias("Sales"))
     return scored.orderBy(key), error
 
 

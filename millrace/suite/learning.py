@@ -5,9 +5,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_fraction
+from millrace.operators import boosting as B
 from millrace.operators import metrics as E
 from millrace.operators import models as M
 from millrace.operators import tuning as U
+from millrace.operators.extra_trees import ExtraTreesClassifier
 from millrace.operators.sampling import stratified_folds
 from millrace.suite.projections import SPLIT
 from millrace.suite.registry import Tables, query
@@ -57,8 +59,7 @@ def fit_random_forest_classifier(t: Tables):
 @query("fit_extra_trees")
 def fit_extra_trees(t: Tables):
     train, valid = parts(order_features(t).select("o_orderkey", "label", *FEATURES))
-    model = M.ExtraTrees(trees=8, depth=5, seed=SEED).fit(train, FEATURES)
-    return model.transform(valid).select("o_orderkey", "label", F.col("probability")[1].alias("p"), "prediction")
+    return binary_scores(M.extra_trees(FEATURES, 8, 5, SEED).fit(train), valid)
 
 
 @query("fit_logistic_regression")
@@ -141,31 +142,38 @@ def fit_knn_classifier(t: Tables):
     return found.join(truth, "query").select("query", "truth", "prediction", F.round("nearest", 6).alias("nearest"))
 
 
+def with_gaps(t: Tables):
+    """Order features with unknown values: discounts of some months, taxes of some orders."""
+    return order_features(t).withColumns({
+        "discount": F.when(F.col("month") != 2, F.col("discount")), "tax": F.when(F.col("o_orderkey") % 7 != 0, F.col("tax"))})
+
+
 @query("fit_gbt_binary")
 def fit_gbt_binary(t: Tables):
-    rows = matrix(t).withColumn("is_valid", hash_fraction("o_orderkey", SEED) < 0.2)
-    with M.kept(rows) as kept:
-        model = M.gbt_binary(10, 4, 0.1, 0.7, SEED, feature_share=0.7, validation="is_valid").fit(kept)
+    """Boosting stopped by the area under the curve of held-out rows; gaps stay gaps."""
+    rows = with_gaps(t)
+    settings = B.Settings(rounds=10, depth=4, step=0.1, row_share=0.7, feature_share=0.7, seed=SEED)
+    model = B.boost(rows, FEATURES, "label", "o_orderkey", settings, hash_fraction("o_orderkey", SEED) < 0.2, B.area_metric, patience=5, larger=True)
     return binary_scores(model, rows)
 
 
 @query("fit_gbt_regression")
 def fit_gbt_regression(t: Tables):
-    rows = M.assemble(order_features(t).withColumn("label", F.log1p("price")),
-                      [f for f in FEATURES if f != "price"], ["o_orderkey", "label"])
-    rows = rows.withColumn("is_valid", hash_fraction("o_orderkey", SEED) < 0.2)
-    with M.kept(rows) as kept:
-        model = M.gbt_regression(10, 4, 0.1, 0.7, SEED, feature_share=0.7, validation="is_valid").fit(kept)
-    return model.transform(rows).select("o_orderkey", F.expm1("label").alias("price"),
-                                        F.expm1("prediction").alias("predicted"))
+    """Boosting on log prices stopped by the relative error of held-out rows."""
+    rows = with_gaps(t).withColumn("log_price", F.log1p("price"))
+    settings = B.Settings(rounds=10, depth=4, step=0.3, row_share=0.7, feature_share=0.7, objective="squared", seed=SEED)
+    model = B.boost(rows, [f for f in FEATURES if f != "price"], "log_price", "o_orderkey", settings,
+                    hash_fraction("o_orderkey", SEED) < 0.2, B.column_metric(E.rmspe), patience=5)
+    return model.transform(rows).select("o_orderkey", "price", F.expm1("prediction").alias("predicted"))
 
 
 @query("cv_boosting_rounds")
 def cv_boosting_rounds(t: Tables):
-    rows = stratified_folds(matrix(t), "o_orderkey", "label", 2, SEED)
-    best, means = U.boosting_rounds(rows, M.gbt_binary(5, 3, 0.3, 0.7, SEED), "fold", 2)
-    # the library's loss is twice the log loss
-    table = [(i + 1, m / 2, i + 1 == best) for i, m in enumerate(means)]
+    """Held-out log loss of both folds after every round, grown together."""
+    rows = stratified_folds(with_gaps(t), "o_orderkey", "label", 2, SEED)
+    settings = B.Settings(rounds=5, depth=3, step=0.3, row_share=0.7, seed=SEED)
+    _, history = B.boost_folds(rows, FEATURES, "label", "o_orderkey", "fold", 2, settings, B.column_metric(E.log_loss), patience=3)
+    table = [(i + 1, m, i + 1 == history.best) for i, m in enumerate(history.means)]
     return t.spark.createDataFrame(table, "round int, log_loss double, is_best boolean")
 
 
@@ -244,6 +252,7 @@ def compare_models(t: Tables):
     train, valid = parts(matrix(t))
     found = U.compare(train, valid, {
         "lr": M.logistic(iterations=10), "dt": M.decision_tree(5, SEED), "rf": M.random_forest(5, 5, SEED),
+        "et": ExtraTreesClassifier(trees=5, maxDepth=5, seed=SEED),
     }, MulticlassClassificationEvaluator(metricName="logLoss"))
     return t.spark.createDataFrame([(i + 1, n, s) for i, (n, s, _) in enumerate(found)],
                                    "rank int, model string, log_loss double")

@@ -108,6 +108,8 @@ def test_sums_passed_on_early_are_the_same(frame, monkeypatch):
     s = B.Settings(rounds=2, depth=3, bins=16, seed=1)
     whole = B.boost(frame, NAMES, "y", "id", s)
     monkeypatch.setattr(B, "CELLS", 10)
+    monkeypatch.setattr(B, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 37)
     assert B.boost(frame.repartition(3), NAMES, "y", "id", s).trees == whole.trees
 
 
@@ -136,6 +138,14 @@ def test_stops_without_gain(frame):
     assert len(means) < 40 and len(means) - model.history.best == 3 and means[model.history.best - 1] == max(means)
 
 
+def test_area_equals_general_form(spark, frame, monkeypatch):
+    rows = frame.select(F.col("fold").alias("model"), F.col("y").alias("label"), F.round("c", 1).alias("prediction"), F.col("id").alias("draw")).na.fill(0.0)
+    few = {r["model"]: r["value"] for r in B.area_metric(rows).collect()}
+    monkeypatch.setattr(B, "SCORES", 3)
+    many = {r["model"]: r["value"] for r in B.area_metric(rows).collect()}
+    assert set(few) == {0, 1, 2} and all(abs(few[m] - many[m]) < 1e-12 for m in few)
+
+
 def test_folds_in_lockstep_equal_separate_fits(spark, frame):
     s = B.Settings(rounds=6, depth=3, step=0.3, row_share=0.8, bins=16, seed=2)
     jobs = spark.sparkContext.statusTracker()
