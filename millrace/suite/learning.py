@@ -1,15 +1,17 @@
 """Queries: training, prediction, search."""
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_fraction
 from millrace.operators import boosting as B
 from millrace.operators import metrics as E
 from millrace.operators import models as M
+from millrace.operators import penalised as P
 from millrace.operators import tuning as U
 from millrace.operators.extra_trees import ExtraTreesClassifier
+from millrace.operators.network import DenseNetwork
 from millrace.operators.sampling import stratified_folds
 from millrace.suite.projections import SPLIT
 from millrace.suite.registry import Tables, query
@@ -73,12 +75,10 @@ def fit_logistic_regression(t: Tables):
 
 @query("fit_logistic_regression_cv")
 def fit_logistic_regression_cv(t: Tables):
+    """All folds and penalties as columns of one matrix, a pass per step."""
     rows = stratified_folds(matrix(t), "o_orderkey", "label", 3, SEED)
-    estimator = M.logistic(iterations=10)
-    maps = U.grid({estimator.regParam: [0.001, 0.1]})
-    evaluator = MulticlassClassificationEvaluator(metricName="logLoss")
-    found = U.search(rows, estimator, maps, evaluator, "fold", 3)
-    return binary_scores(found.best_model, rows)
+    found = P.logistic_path(rows, [0.1, 0.01, 0.001], "o_orderkey", "fold", 3)
+    return binary_scores(found.model, rows)
 
 
 @query("fit_decision_tree")
@@ -191,13 +191,10 @@ def fit_per_group_ols(t: Tables):
 
 @query("fit_mlp")
 def fit_mlp(t: Tables):
-    rows = M.assemble(
-        t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"),
-                            *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]),
-        [f"e{i}" for i in range(64)], ["vec_id", "label"])
+    rows = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"),
+                               array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     train, valid = parts(rows, "vec_id")
-    with M.kept(train) as kept:
-        model = M.mlp(64, 10, iterations=15, seed=SEED).fit(kept)
+    model = DenseNetwork(hidden=[50, 20], dropout=[0.2, 0.0], epochs=10, batches=4, step=0.1, seed=SEED, keyCol="vec_id").fit(train)
     return M.probability_columns(model.transform(valid).select("vec_id", "label", "probability"),
                                  [f"p{i}" for i in range(10)])
 
