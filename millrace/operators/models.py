@@ -20,9 +20,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from millrace.functions.hashing import hash_number
 from millrace.operators.extra_trees import ExtraTreesClassifier
 from millrace.operators.metrics import roc_auc
+from millrace.operators.neighbours import pivot_search
 
 MAX_DEPTH = 30
 """Deepest tree the library grows."""
@@ -202,64 +202,9 @@ class PairwiseSVMModel:
 
 # nearest neighbours
 
-QUERY_BLOCK_BYTES = 64 << 20
-"""Largest block of query vectors sent to the executors at a time."""
-
-
-def nearest(train: DataFrame, queries: DataFrame, key: str, vector: str, carry: str, k: int,
-            width: int) -> DataFrame:
-    """(query, distance, neighbour, carry): the k nearest training rows of every query, exact.
-
-    Queries go out in blocks of bounded size. Every partition of ``train`` keeps only its k best
-    per query, so k rows per query and partition are shuffled, never the pairs.
-    """
-    context = train.sparkSession.sparkContext
-    per_block, total = max(1, QUERY_BLOCK_BYTES // (8 * width)), queries.count()
-    # hashed blocks differ in size, so twice as many as would do if all were full
-    blocks = 1 if total <= per_block else 2 * -(-total // per_block)
-    rows = train.select(F.col(key).alias("neighbour"), F.col(vector).alias("v"), F.col(carry).alias("carry"))
-    query_type, carry_type = queries.schema[key].dataType, train.schema[carry].dataType
-    schema = T.StructType([
-        T.StructField("query", query_type), T.StructField("distance", T.DoubleType()),
-        T.StructField("neighbour", train.schema[key].dataType), T.StructField("carry", carry_type)])
-
-    def job(block: DataFrame) -> DataFrame:
-        local = block.select(key, F.col(vector).cast("array<double>").alias("v")).collect()
-        sent = context.broadcast((np.array([r[0] for r in local]), np.array([r[1] for r in local])))
-
-        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, points = sent.value
-            if not len(names):
-                return
-            squares = (points ** 2).sum(axis=1)[:, None]
-            top_d = top_n = top_c = None
-            for batch in batches:
-                if batch.empty:
-                    continue
-                matrix = np.stack(batch["v"].to_numpy()).astype(float)
-                far = np.maximum(squares + (matrix ** 2).sum(axis=1)[None, :] - 2 * points @ matrix.T, 0)
-                n = np.broadcast_to(batch["neighbour"].to_numpy(), far.shape)
-                c = np.broadcast_to(batch["carry"].to_numpy(), far.shape)
-                if top_d is not None:
-                    far, n, c = (np.concatenate(x, axis=1) for x in ((top_d, far), (top_n, n), (top_c, c)))
-                keep = np.lexsort((n, far), axis=1)[:, :k]
-                top_d, top_n, top_c = (np.take_along_axis(x, keep, axis=1) for x in (far, n, c))
-            if top_d is not None:
-                size = top_d.shape[1]
-                yield pd.DataFrame({"query": np.repeat(names, size), "distance": np.sqrt(top_d).ravel(),
-                                    "neighbour": top_n.ravel(), "carry": top_c.ravel()})
-
-        candidates = rows.mapInPandas(best, schema)
-        order = Window.partitionBy("query").orderBy("distance", "neighbour")
-        return candidates.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
-
-    if blocks <= 1:
-        return job(queries)
-    part = hash_number(key, 0) % blocks
-    found = job(queries.where(part == 0))
-    for number in range(1, blocks):
-        found = found.unionByName(job(queries.where(part == number)))
-    return found
+def nearest(train: DataFrame, queries: DataFrame, key: str, vector: str, carry: str, k: int, width: int) -> DataFrame:
+    """(query, distance, neighbour, carry): the k nearest training rows of every query, exact; ties by key."""
+    return pivot_search(train, queries, key, vector, carry, k, width)[0]
 
 
 def knn_classify(train: DataFrame, queries: DataFrame, key: str, vector: str, label: str, k: int, width: int,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from millrace.operators import ensembling as N, metrics as M, models as L, sampling as S, tuning as U
+from millrace.operators import ensembling as N, metrics as M, models as L, neighbours, sampling as S, tuning as U
 
 
 @pytest.fixture(scope="module")
@@ -132,10 +132,11 @@ def test_deep_trees_are_cut():
         assert L.depth_of(117) == 30
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 26, 800])
+@pytest.mark.parametrize("block", [5_000, 7])
 @pytest.mark.parametrize("weights", ["uniform", "distance"])
-def test_knn_against_numpy(spark, labelled, monkeypatch, block_bytes, weights):
-    monkeypatch.setattr(L, "QUERY_BLOCK_BYTES", block_bytes)
+def test_knn_against_numpy(spark, labelled, monkeypatch, block, weights):
+    monkeypatch.setattr(neighbours, "QUERIES", block)
+    monkeypatch.setattr(neighbours, "PART", 3 * block)
     rows = labelled.select("id", F.array("a", "b").alias("v"), F.col("class").cast("int").alias("c"))
     train, queries = S.split_by_fraction(rows, "id", 0.8, 4)
     got = {r["query"]: r["prediction"] for r in
