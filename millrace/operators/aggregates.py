@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.ordered import number_rows, quantiles
 from millrace.operators.relational import columns_of
+from millrace.session import shipped
 
 DENSE_LIMIT = 1_000
-"""Widest table a pivot may build; above it use the long (sparse) form."""
+"""Widest table a pivot may build; above it use ``wide_sums`` or the long (sparse) form."""
+WIDE_CELLS = 1_000_000
+"""Cells of a wide table that are unfolded at once."""
 
 
 def sum_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,12 +49,48 @@ def small_levels(df: DataFrame, column: str, limit: int = DENSE_LIMIT) -> list:
 def pivot_sum(df: DataFrame, keys: Sequence[str], category: str, names: Mapping, value: str) -> DataFrame:
     """Sum of ``value`` per listed category as columns, 0 where a group has none."""
     if len(names) > DENSE_LIMIT:
-        raise ValueError("too many categories for columns: use the sparse form")
+        if len(keys) > 1:
+            raise ValueError("more columns than a pivot may build: join the keys into one")
+        return wide_sums(df, keys[0], category, names, F.col(value))
     wide = df.groupBy(*keys).pivot(category, list(names)).agg(F.sum(value))
     return wide.select(*keys, *[
         F.coalesce(F.col(f"`{level}`"), F.lit(0)).alias(name) for level, name in names.items()])
 
 
+def wide_sums(df: DataFrame, key: str, category: str, names: Mapping, value: Column) -> DataFrame:
+    """Sum of ``value`` per listed category as columns, 0 where a key has none; any number of categories.
+
+    Sums stay in long form through the only shuffles; a key's list of (column, sum) is then unfolded into its row,
+    batch by batch in Arrow columns, so neither the plan nor generated code grows with the columns.
+    """
+    spark = shipped(df.sparkSession)
+    levels = list(names)
+    numbered = spark.createDataFrame([(level, i) for i, level in enumerate(levels)],
+                                     T.StructType([T.StructField("_level", df.schema[category].dataType), T.StructField("_place", T.IntegerType())]))
+    sums = df.groupBy(F.col(key).alias("_key"), F.col(category).alias("_level")).agg(F.sum(value.cast("double")).alias("_sum"))
+    cell = F.when(F.col("_place").isNotNull(), F.struct("_place", "_sum"))
+    lists = sums.join(numbered, "_level", "left").groupBy("_key").agg(F.collect_list(cell).alias("_cells"))
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *[T.StructField(n, T.DoubleType()) for n in names.values()]])
+    width = len(levels)
+    rows_at_once = max(1, WIDE_CELLS // max(width, 1))
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(begin, rows_at_once)
+                cells = batch.column("_cells")
+                owner = np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy())
+                inner = cells.flatten()
+                dense = np.zeros((width, len(cells)))
+                dense[inner.field("_place").to_numpy(), owner] = inner.field("_sum").fill_null(0.0).to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column("_key"), *[pa.array(line) for line in dense]], schema=arrow(batch.schema.field("_key").type))
+
+    def arrow(kind: pa.DataType) -> pa.Schema:
+        return pa.schema([pa.field(key, kind), *[pa.field(n, pa.float64()) for n in names.values()]])
+
+    return lists.mapInArrow(unfold, schema)
+
+
 def join_text(df: DataFrame, key: str, value: str, order: str, separator: str = " ",
               block: int = 10_000) -> DataFrame:
     """Values of a group joined in order, as (key, block, text).

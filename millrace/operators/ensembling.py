@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.metrics import log_loss_multiclass
 from millrace.operators.models import in_parallel, kept
+from millrace.operators.stored_models import StoredModel
 
 
 def average_runs(runs: DataFrame, key: str, score: str, run: str, denominator: str = "present") -> DataFrame:
@@ -50,8 +51,7 @@ class Stack:
 
     def __init__(self, candidates: Mapping[str, Estimator], folds: int, iterations: int = 100):
         self.candidates, self.folds, self.iterations = dict(candidates), folds, iterations
-        self.models: dict[str, list] = {}
-        self.blender = None
+        self.model: StackModel | None = None
 
     def fit(self, df: DataFrame, key: str, label: str, fold: str) -> DataFrame:
         """Fit all models; returns the out-of-fold table, one row per key.
@@ -60,44 +60,61 @@ class Stack:
         candidates of its fold in one pass, so no join brings the candidates together.
         """
         stacked = None
+        names = list(self.candidates)
         with kept(df) as rows:
-            jobs = [(name, number) for number in range(self.folds) for name in self.candidates]
+            jobs = [(name, number) for number in range(self.folds) for name in names]
             fitted = dict(zip(jobs, in_parallel(
                 lambda job: self.candidates[job[0]].fit(rows.where(F.col(fold) != job[1])), jobs)))
-            self.models = {name: [fitted[name, n] for n in range(self.folds)] for name in self.candidates}
             for number in range(self.folds):
-                part = self._score(rows.where(F.col(fold) == number).select(key, label, "features"),
-                                   {name: [models[number]] for name, models in self.models.items()}, [key, label])
+                part = _scored(rows.where(F.col(fold) == number).select(key, label, "features"),
+                               {name: [fitted[name, number]] for name in names}, [key, label])
                 stacked = part if stacked is None else stacked.unionByName(part)
-            self.blender = LogisticRegression(labelCol=label, maxIter=self.iterations).fit(
-                self._level_one(stacked))
+            blender = LogisticRegression(labelCol=label, maxIter=self.iterations).fit(_level_one(stacked, names))
+        self.model = StackModel({"names": names, "folds": self.folds},
+                                {"blender": blender, **{f"{name}-{number}": fitted[name, number] for name, number in jobs}})
         return stacked
 
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Blend of the mean over folds of every candidate: ``probability`` and ``prediction``."""
-        scored = self._score(df.select(*keep, "features"), self.models, list(keep))
-        return self.blender.transform(self._level_one(scored)).select(*keep, "probability", "prediction")
-
-    def _score(self, df: DataFrame, models: Mapping[str, list], keep: list[str]) -> DataFrame:
-        scored, done = df, []
-        for name, members in models.items():
-            for number, model in enumerate(members):
-                cell = f"_{name}_{number}"
-                scored = model.transform(scored).select(
-                    *keep, "features", *done, vector_to_array("probability").alias(cell))
-                done.append(cell)
-            total = F.col(f"_{name}_0")
-            for number in range(1, len(members)):
-                total = F.zip_with(total, F.col(f"_{name}_{number}"), lambda a, b: a + b)
-            scored = scored.withColumn(f"_mean_{name}", F.transform(total, lambda v: v / len(members)))
-            done = [c for c in done if not c.startswith(f"_{name}_")] + [f"_mean_{name}"]
-            scored = scored.select(*keep, "features", *done)
-        return scored.select(*keep, *[F.col(f"_mean_{n}").alias(n) for n in models])
-
-    def _level_one(self, scored: DataFrame) -> DataFrame:
-        vectors = scored.withColumns({f"_v_{n}": array_to_vector(n) for n in self.candidates})
-        return VectorAssembler(inputCols=[f"_v_{n}" for n in self.candidates], outputCol="features").transform(
-            vectors).drop(*self.candidates, *[f"_v_{n}" for n in self.candidates])
+        return self.model.blend(df, keep)
+
+
+class StackModel(StoredModel):
+    """The fitted members of a stack and its blender; stored with all of them."""
+
+    def blend(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        names = self.content["names"]
+        models = {name: [self.members[f"{name}-{number}"] for number in range(self.content["folds"])] for name in names}
+        scored = _scored(df.select(*keep, "features"), models, list(keep))
+        return self.members["blender"].transform(_level_one(scored, names)).select(*keep, "probability", "prediction")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """All columns with ``probability`` and ``prediction``; needs a vector column ``features``."""
+        whole = dataset.withColumn("_row", F.struct(*dataset.columns))
+        return self.blend(whole, ["_row"]).select("_row.*", "probability", "prediction")
+
+
+def _scored(df: DataFrame, models: Mapping[str, list], keep: list[str]) -> DataFrame:
+    scored, done = df, []
+    for name, members in models.items():
+        for number, model in enumerate(members):
+            cell = f"_{name}_{number}"
+            scored = model.transform(scored).select(
+                *keep, "features", *done, vector_to_array("probability").alias(cell))
+            done.append(cell)
+        total = F.col(f"_{name}_0")
+        for number in range(1, len(members)):
+            total = F.zip_with(total, F.col(f"_{name}_{number}"), lambda a, b: a + b)
+        scored = scored.withColumn(f"_mean_{name}", F.transform(total, lambda v: v / len(members)))
+        done = [c for c in done if not c.startswith(f"_{name}_")] + [f"_mean_{name}"]
+        scored = scored.select(*keep, "features", *done)
+    return scored.select(*keep, *[F.col(f"_mean_{n}").alias(n) for n in models])
+
+
+def _level_one(scored: DataFrame, names: Sequence[str]) -> DataFrame:
+    vectors = scored.withColumns({f"_v_{n}": array_to_vector(n) for n in names})
+    return VectorAssembler(inputCols=[f"_v_{n}" for n in names], outputCol="features").transform(
+        vectors).drop(*names, *[f"_v_{n}" for n in names])
 
 
 def multiclass_loss(df: DataFrame, label: str = "label", probability: str = "probability") -> float:

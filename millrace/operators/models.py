@@ -9,7 +9,8 @@ from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -20,9 +21,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from millrace.operators.calibration import PairwiseModel, SigmoidModel
 from millrace.operators.extra_trees import ExtraTreesClassifier
 from millrace.operators.metrics import roc_auc
 from millrace.operators.neighbours import pivot_search
+from millrace.session import shipped
 
 MAX_DEPTH = 30
 """Deepest tree the library grows."""
@@ -122,7 +125,7 @@ class CalibratedSVM:
     def __init__(self, classes: int, iterations: int = 50, reg: float = 0.0):
         self.classes, self.iterations, self.reg = classes, iterations, reg
 
-    def fit(self, train: DataFrame, held_out: DataFrame, label: str = "label") -> CalibratedSVMModel:
+    def fit(self, train: DataFrame, held_out: DataFrame, label: str = "label") -> SigmoidModel:
         with kept(train.select("features", label)) as rows:
             model = OneVsRest(labelCol=label, classifier=LinearSVC(
                 maxIter=self.iterations, regParam=self.reg), parallelism=4).fit(rows)
@@ -135,29 +138,8 @@ class CalibratedSVM:
                 return float(fitted.coefficients[0]), float(fitted.intercept)
 
             sigmoids = in_parallel(calibrate, range(len(model.models)))
-        return CalibratedSVMModel(list(model.models), sigmoids)
-
-
-class CalibratedSVMModel:
-    def __init__(self, members, sigmoids):
-        self.members, self.sigmoids = members, sigmoids
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``probability`` (array, sums to 1) and ``prediction``."""
-        scored, columns = df, df.columns
-        for number, member in enumerate(self.members):
-            scored = member.transform(scored).select(
-                *columns, *[f"_p{i}" for i in range(number)],
-                self._chance(number).alias(f"_p{number}"))
-        parts = F.array(*[F.col(f"_p{i}") for i in range(len(self.members))])
-        total = F.aggregate(parts, F.lit(0.0), lambda a, v: a + v)
-        return scored.select(*columns, F.transform(parts, lambda v: v / total).alias("probability")).withColumn(
-            "prediction", (F.array_position("probability", F.array_max("probability")) - 1).cast("double"))
-
-    def _chance(self, number: int) -> Column:
-        slope, intercept = self.sigmoids[number]
-        margin = F.get(vector_to_array("rawPrediction"), F.lit(1))
-        return 1 / (1 + F.exp(-(margin * slope + intercept)))
+        weights = [m.coefficients.toArray().tolist() for m in model.models]
+        return SigmoidModel({"weights": weights, "offsets": [float(m.intercept) for m in model.models], "sigmoids": sigmoids, "features": "features"})
 
 
 class PairwiseSVM:
@@ -166,7 +148,7 @@ class PairwiseSVM:
     def __init__(self, classes: int, c: float = 1.0, iterations: int = 50):
         self.classes, self.c, self.iterations = classes, c, iterations
 
-    def fit(self, df: DataFrame, label: str = "label") -> PairwiseSVMModel:
+    def fit(self, df: DataFrame, label: str = "label") -> PairwiseModel:
         with kept(df.select("features", label)) as rows:
             sizes = {int(r[0]): r[1] for r in rows.groupBy(label).count().collect()}
             pairs = [p for p in itertools.combinations(range(self.classes), 2) if all(sizes.get(k) for k in p)]
@@ -178,26 +160,9 @@ class PairwiseSVM:
                 weight = 1.0 / (self.c * (sizes[pair[0]] + sizes[pair[1]]))
                 return LinearSVC(maxIter=self.iterations, regParam=weight).fit(chosen)
 
-            members = dict(zip(pairs, in_parallel(fit_pair, pairs)))
-        return PairwiseSVMModel(members, self.classes)
-
-
-class PairwiseSVMModel:
-    def __init__(self, members, classes):
-        self.members, self.classes = members, classes
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``votes`` (array) and ``prediction`` (smallest class among ties)."""
-        columns = df.columns
-        pairs = list(self.members)
-        scored = df
-        for number, pair in enumerate(pairs):
-            scored = self.members[pair].transform(scored).select(
-                *columns, *[f"_w{i}" for i in range(number)], F.col("prediction").alias(f"_w{number}"))
-        votes = [sum(((F.col(f"_w{i}") == (0.0 if a == k else 1.0)).cast("int")
-                      for i, (a, b) in enumerate(pairs) if k in (a, b)), F.lit(0)) for k in range(self.classes)]
-        return scored.select(*columns, F.array(*votes).alias("votes")).withColumn(
-            "prediction", (F.array_position("votes", F.array_max("votes")) - 1).cast("double"))
+            members = in_parallel(fit_pair, pairs)
+        return PairwiseModel({"pairs": pairs, "classes": self.classes, "features": "features",
+                              "weights": [m.coefficients.toArray().tolist() for m in members], "offsets": [float(m.intercept) for m in members]})
 
 
 # nearest neighbours
@@ -220,59 +185,78 @@ def knn_classify(train: DataFrame, queries: DataFrame, key: str, vector: str, la
 
 # one linear model per group
 
+FACTOR_ROWS = 200_000
+"""Rows a task gathers before it reduces them to one triangle per group."""
+
+
 def fit_group_ols(df: DataFrame, group: str, features: Sequence[str], label: Column,
-                  tolerance: float = 1e-9) -> DataFrame:
+                  tolerance: float = 1e-10) -> DataFrame:
     """(group, n, intercept, coefficients): least squares per group.
 
-    Groups are reduced to sums of products before the shuffle, so a group of any size is one
-    row when it is solved. Columns that depend on earlier ones get coefficient 0; a group too
+    Tasks reduce their rows of a group to the triangle of a QR factorisation, a few numbers whatever the
+    group's size; triangles of a group are stacked and reduced again. Unlike sums of products this does not square
+    the condition of the columns. Columns that depend on earlier ones get coefficient 0; a group too
     small for its columns falls back on the mean through the same rule.
     """
+    shipped(df.sparkSession)
     columns = [F.col(c).cast("double") for c in features] + [label.cast("double")]
     size = len(columns)
-    rows = df.select(group, *[c.alias(f"_x{i}") for i, c in enumerate(columns)])
+    rows = df.select(F.col(group).alias("_g"), *[c.alias(f"_x{i}") for i, c in enumerate(columns)])
     # one test on all columns: a filter per column makes the optimizer relate them pairwise
     known = F.array_compact(F.array(*[F.col(f"_x{i}") for i in range(size)]))
-    rows = rows.where(F.col(group).isNotNull() & (F.size(known) == size))
-    # products of differences from the overall means lose fewer digits than raw products
+    rows = rows.where(F.col("_g").isNotNull() & (F.size(known) == size))
+    # differences from the overall means lose fewer digits than raw values
     centre = rows.agg(*[F.avg(f"_x{i}") for i in range(size)]).first()
-    x = [F.col(f"_x{i}") - F.lit(centre[i] or 0.0) for i in range(size)]
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = rows.groupBy(group).agg(
-        F.count("*").alias("n"), F.array(*[F.sum(v) for v in x]).alias("s"),
-        F.array(*[F.sum(x[i] * x[j]) for i, j in pairs]).alias("p"))
     middle = np.array([float(c or 0.0) for c in centre])
+    key = df.schema[group].dataType
+    triangles = T.StructType([T.StructField("_g", key), T.StructField("n", T.LongType()), T.StructField("r", T.BinaryType())])
     schema = T.StructType([
-        T.StructField(group, df.schema[group].dataType), T.StructField("n", T.LongType()),
+        T.StructField(group, key), T.StructField("n", T.LongType()),
         T.StructField("intercept", T.DoubleType()), T.StructField("coefficients", T.ArrayType(T.DoubleType()))])
 
-    def solve(n: int, s: np.ndarray, p: np.ndarray) -> tuple[float, list[float]]:
-        moments = np.zeros((size, size))
-        for value, (i, j) in zip(p, pairs):
-            moments[i, j] = moments[j, i] = value
-        cross = moments - np.outer(s, s) / n
-        scale = np.diag(cross).copy()
-        floor = np.finfo(float).eps * np.diag(moments) * n
-        used: list[int] = []
-        work = cross.copy()
-        for j in range(size - 1):
-            if work[j, j] <= tolerance * scale[j] or work[j, j] <= floor[j] or len(used) >= n - 1:
-                continue
-            used.append(j)
-            work = work - np.outer(work[:, j], work[j, :]) / work[j, j]
-        solved = np.zeros(size - 1)
-        if used:
-            solved[used] = np.linalg.solve(cross[np.ix_(used, used)], cross[used, size - 1])
-        means = s / n + middle
-        return float(means[-1] - solved @ means[:-1]), solved.tolist()
-
-    def solve_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
-            answers = [solve(n, np.asarray(s), np.asarray(p)) for n, s, p in zip(batch["n"], batch["s"], batch["p"])]
-            yield pd.DataFrame({group: batch[group], "n": batch["n"], "intercept": [a for a, _ in answers],
-                                "coefficients": [c for _, c in answers]})
-
-    return sums.mapInPandas(solve_all, schema)
+            held.append(batch)
+            count += batch.num_rows
+            if count >= FACTOR_ROWS:
+                yield factored(held)
+                held, count = [], 0
+        if count:
+            yield factored(held)
+
+    def factored(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        coded = table.column("_g").combine_chunks().dictionary_encode()
+        order = np.argsort(coded.indices.to_numpy(), kind="stable")
+        code = coded.indices.to_numpy()[order]
+        x = np.column_stack([np.ones(len(code)), *[table.column(f"_x{i}").to_numpy()[order] - middle[i] for i in range(size)]])
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(code)) + 1, [len(code)]])
+        parts = [np.linalg.qr(x[a:b], mode="r") for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[cuts[:-1]])), pa.array(np.diff(cuts)), pa.array([r.tobytes() for r in parts], pa.binary())],
+                                          ["_g", "n", "r"])
+
+    def solve(table: pa.Table) -> pa.Table:
+        n = pc.sum(table.column("n")).as_py()
+        stack = np.vstack([np.frombuffer(r).reshape(-1, size + 1) for r in sorted(table.column("r").to_pylist())])
+        whole = np.linalg.qr(stack, mode="r") if len(stack) > size + 1 else stack
+        used: list[int] = [0]
+        for j in range(1, size):
+            if len(used) >= n:
+                break
+            left = np.linalg.qr(whole[:, [*used, j]], mode="r")
+            if len(left) > len(used) and abs(left[len(used), -1]) > tolerance * np.linalg.norm(whole[:, j]):
+                used.append(j)
+        left = np.linalg.qr(whole[:, [*used, size]], mode="r")
+        k = len(used)
+        found = np.linalg.solve(left[:k, :k], left[:k, k])
+        solved = np.zeros(size)
+        solved[used] = found
+        intercept = solved[0] + middle[-1] - solved[1:] @ middle[:-1]
+        return pa.table({group: table.column("_g").slice(0, 1), "n": pa.array([n], pa.int64()), "intercept": pa.array([float(intercept)]),
+                         "coefficients": pa.array([solved[1:].tolist()], pa.list_(pa.float64()))})
+
+    return rows.mapInArrow(reduce, triangles).groupBy("_g").applyInArrow(solve, schema)
 
 
 def predict_group_ols(df: DataFrame, models: DataFrame, group: str, features: Sequence[str],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.operators.aggregates import distinct_counts, value_counts
 
@@ -77,26 +77,42 @@ def common_highly_correlated(train: DataFrame, test: DataFrame, columns: Sequenc
     return [c for c in highly_correlated(correlation_array(train, columns), columns, cutoff) if c in on_test]
 
 
-def anova_scores(df: DataFrame, features: str, label: str) -> DataFrame:
-    """(feature, f): one-way ANOVA F of every element of the array column ``features``.
+def stored_cells(df: DataFrame, features: str, keep: Sequence[str]) -> DataFrame:
+    """(keep..., feature, v): the cells other than 0 of an array or vector column, vectors dense or sparse."""
+    if isinstance(df.schema[features].dataType, T.ArrayType):
+        cells = df.select(*keep, F.posexplode(features).alias("feature", "v"))
+    else:
+        u = F.unwrap_udt(features)
+        cell = lambda i, v: F.struct(i.cast("int").alias("feature"), v.alias("v"))
+        listed = F.when(u["type"] == 0, F.zip_with(u["indices"], u["values"], cell)).otherwise(F.transform(u["values"], lambda v, i: cell(i, v)))
+        cells = df.select(*keep, F.explode(listed).alias("c")).select(*keep, "c.feature", "c.v")
+    return cells.withColumn("v", F.col("v").cast("double")).where("v <> 0")
+
+
+def anova_of_cells(cells: DataFrame, totals: DataFrame) -> DataFrame:
+    """(feature, f): one-way ANOVA F from (class, feature, v) cells other than 0 and (class, n) rows of each class.
 
-    Needs only n, sum and sum of squares per (feature, class), combined before the shuffle.
+    The zeros are known from the class sizes, so work and shuffle grow with the stored cells, not with
+    rows x features. A feature without a stored cell has no row; one without spread inside its classes has no f.
     """
-    long = df.select(F.col(label).alias("class"), F.posexplode(features).alias("feature", "v"))
-    v = F.col("v").cast("double")
-    parts = long.groupBy("feature", "class").agg(
-        F.count("*").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
-    total = parts.groupBy("feature").agg(
-        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"),
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"), F.count("*").alias("k"))
-    between = (F.col("b") - F.col("s") * F.col("s") / F.col("n")) / (F.col("k") - 1)
-    within = (F.col("q") - F.col("b")) / (F.col("n") - F.col("k"))
-    return total.select("feature", (between / within).alias("f"))
+    v = F.col("v")
+    parts = cells.groupBy("feature", "class").agg(F.sum(v).alias("s"), F.sum(v * v).alias("q")).join(totals, "class")
+    rows, classes = totals.agg(F.sum("n"), F.count("*")).first()
+    total = parts.groupBy("feature").agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"))
+    between = (F.col("b") - F.col("s") * F.col("s") / F.lit(rows)) / F.lit(max(classes - 1, 1))
+    within = (F.col("q") - F.col("b")) / F.lit(max((rows or 0) - classes, 1))
+    return total.select("feature", F.try_divide(between, within).alias("f"))
+
+
+def anova_scores(df: DataFrame, features: str, label: str) -> DataFrame:
+    """(feature, f): one-way ANOVA F of every element of the array or vector column ``features``."""
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("class"), features)
+    return anova_of_cells(stored_cells(rows, features, ["class"]), rows.groupBy("class").agg(F.count("*").alias("n")))
 
 
 def select_percentile(scores: DataFrame, percent: float) -> list[int]:
     """Features scoring above the (100 - percent) percentile of the scores."""
-    rows = scores.collect()  # one row per feature
+    rows = scores.where("f is not null").collect()  # one row per feature
     values = np.array([row["f"] for row in rows])
     threshold = np.percentile(values, 100 - percent)
     return sorted(row["feature"] for row in rows if row["f"] > threshold)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.scalars import prefix_token
 from millrace.operators.encoding import sorted_levels
@@ -51,15 +53,21 @@ def fit_token_vectors(tokens: DataFrame, column: str = "tokens") -> CountVectori
 
 
 def sparse_vectors(triples: DataFrame, key: str, size: int, value: str = "n") -> DataFrame:
-    """(key, features): one SparseVector per key from (key, col, value) triples.
+    """(key, features): one sparse vector per key from (key, col, value) triples, built in Arrow batches.
 
     A key has each column once, so its list is at most ``size`` long.
     """
     lists = triples.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("col", F.col(value).cast("double").alias("v")))).alias("cells"))
-
-    @F.udf(VectorUDT())
-    def build(columns, values) -> SparseVector:
-        return Vectors.sparse(size, columns, values)
-
-    return lists.select(key, build("cells.col", "cells.v").alias("features"))
+        F.array_sort(F.collect_list(F.struct(F.col("col").cast("int").alias("col"), F.col(value).cast("double").alias("v")))).alias("cells"))
+    schema = T.StructType([triples.schema[key], T.StructField("features", VectorUDT())])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(1)
+            ends = np.concatenate([[0], np.cumsum(cells.value_lengths().to_numpy())]).astype(np.int32)
+            inner = cells.flatten()
+            columns, values = (pa.ListArray.from_arrays(ends, inner.field(f)) for f in ("col", "v"))
+            parts = [pa.array(np.zeros(len(cells), np.int8)), pa.array(np.full(len(cells), size, np.int32)), columns, values]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.StructArray.from_arrays(parts, ["type", "size", "indices", "values"])], [key, "features"])
+
+    return lists.select(key, "cells").mapInArrow(build, schema)

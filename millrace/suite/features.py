@@ -239,7 +239,34 @@ def near_zero_variance(t: Tables):
         {c: F.round(c, 6) for c in ["freq_ratio", "percent_unique"]})
 
 
-@query("high_correlation_filter")
+CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net", "gross"]
+_PAIRS = [(i, j) for i in range(6) for j in range(i, 6)]
+
+
+def _dropped_sql(side: str) -> str:
+    """The filter of one side: columns in falling order of their mean correlation, then pair by pair."""
+    matrix = ", ".join(f"abs(corr({CORRELATED[i]}, {CORRELATED[j]})) as c{i}{j}" for i, j in _PAIRS)
+    cells = "[" + ", ".join("[" + ", ".join(f"c{min(i, j)}{max(i, j)}" for j in range(6)) + "]" for i in range(6)) + "]"
+    return f"""{side}_corr as (select {cells} as m from (select {matrix} from r where {'' if side == 'train' else 'not '}is_train)),
+    {side}_place as (select i, row_number() over (order by list_avg(m[i]) desc, i) as place from {side}_corr, range(1, 7) as t(i)),
+    {side}_sorted as (select (select list(i order by place) from {side}_place) as o, m from {side}_corr),
+    {side}_pair as (select row_number() over (order by a, b) as step, a, b from range(1, 7) as x(a), range(1, 7) as y(b) where b > a),
+    {side}_walk as (select 0::bigint as step, []::bigint[] as d union all
+      select w.step + 1, case when list_contains(d, o[a]) or list_contains(d, o[b]) or m[o[a]][o[b]] <= 0.9 then d
+        when list_avg([m[o[a]][k] for k in range(1, 7) if k <> o[a] and not list_contains(d, k)])
+          > list_avg(flatten([[m[q][k] for k in range(1, 7) if k <> q and not list_contains(d, k)] for q in range(1, 7)
+              if q <> o[b] and not list_contains(d, q)]))
+        then list_append(d, o[a]) else list_append(d, o[b]) end
+      from {side}_walk w join {side}_pair p on p.step = w.step + 1, {side}_sorted),
+    {side}_out as (select arg_max(d, step) as d from {side}_walk)"""
+
+
+@query("high_correlation_filter", f"""with recursive r as (select l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax,
+    l_extendedprice * (1 - l_discount) as net, l_extendedprice * (1 + l_tax) as gross,
+    {SPLIT.format(key='l_orderkey')} < 0.6 as is_train from lineitem), {_dropped_sql('train')}, {_dropped_sql('test')}
+    select l_orderkey, "column", round(value, 6) as value from (select l_orderkey, {', '.join(f"{c}::double as {c}" for c in CORRELATED)} from r)
+    unpivot (value for "column" in ({', '.join(CORRELATED)}))
+    where not list_contains((select list_intersect(train_out.d, test_out.d) from train_out, test_out), list_position({CORRELATED}, "column"))""")
 def high_correlation_filter(t: Tables):
     rows = t.lineitem.select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -248,7 +275,10 @@ def high_correlation_filter(t: Tables):
     columns = rows.columns[1:]
     is_train = hash_fraction("l_orderkey", 720) < 0.6
     dropped = X.common_highly_correlated(rows.where(is_train), rows.where(~is_train), columns, 0.9)
-    return rows.drop(*dropped)
+    left = [c for c in columns if c not in dropped]
+    # which columns are left depends on the data, so they come in long form
+    doubles = rows.select("l_orderkey", *[F.col(c).cast("double").alias(c) for c in left])
+    return doubles.unpivot("l_orderkey", left, "column", "value").withColumn("value", F.round("value", 6))
 
 
 @query("select_percentile_anova", """with v as (select label, unnest(embedding)::double as v,

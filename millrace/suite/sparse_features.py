@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_fraction
+from millrace.operators import selection as X
 from millrace.operators import sparse as P
 from millrace.plans import devices as D
 from millrace.plans import sales as L
 from millrace.suite.projections import SPLIT
+from millrace.session import cut_lineage
 from millrace.suite.registry import Tables, query
 
 HOURS = list(range(24))
@@ -121,7 +123,7 @@ def feature_triples_sparse(t: Tables):
     return P.index_triples(tokens, "user_id")
 
 
-@query("sparse_block_stack", f"""with {PEOPLE}, {DEVICE_APPS},
+BLOCKS_SQL = f"""with {PEOPLE}, {DEVICE_APPS},
     brands as (select phone_brand as v, row_number() over (order by v) - 1 as code from
         (select distinct phone_brand from people)),
     models as (select v, row_number() over (order by v) - 1 as code from
@@ -139,12 +141,32 @@ def feature_triples_sparse(t: Tables):
       union select user_id, 'label', code, (select count(*) from brands) + (select count(*) from models)
             + (select count(*) from app_ids) from apps semi join people using (user_id)
             join used using (app_id) join label_ids on v = label_id)
-    select user_id, block, code + start as col from pairs""")
+    select user_id, block, code + start as col from pairs"""
+
+
+@query("sparse_block_stack", BLOCKS_SQL)
 def sparse_block_stack(t: Tables):
     return D.sparse_blocks(people(t), t.events, event_apps(t), app_labels(t), "user_id", "event_id",
                            "app_id", "label_id", "phone_brand", "device_model")
 
 
+@query("select_percentile_anova_sparse", f"""with b as ({BLOCKS_SQL}), y as (select distinct user_id, user_id % 4 as class from events),
+    n as (select class, count(*) as n from y group by class),
+    p as (select col, class, count(*)::double as s from b join y using (user_id) group by all),
+    x as (select col, sum(s) as s, sum(s * s / n) as b from p join n using (class) group by col),
+    f as (select col, ((b - s * s / (select sum(n) from n)) / 3) / nullif((s - b) / ((select sum(n) from n) - 4), 0) as f from x)
+    select col, round(f, 6) as f, coalesce(f > (select quantile_cont(f, 0.77) from f), false) as selected from f""")
+def select_percentile_anova_sparse(t: Tables):
+    """Scores of the columns of the sparse blocks; only their ones are summed."""
+    blocks = sparse_block_stack(t)
+    labels = t.events.select("user_id").distinct().withColumn("class", F.col("user_id") % 4)
+    cells = blocks.join(labels, "user_id").select("class", F.col("col").alias("feature"), F.lit(1.0).alias("v"))
+    scores = cut_lineage(X.anova_of_cells(cells, labels.groupBy("class").agg(F.count("*").alias("n"))))
+    selected = t.spark.createDataFrame([(c,) for c in X.select_percentile(scores, 23)], "feature bigint").withColumn("_s", F.lit(True))
+    joined = scores.join(selected, "feature", "left")
+    return joined.select(F.col("feature").alias("col"), F.round("f", 6).alias("f"), F.coalesce("_s", F.lit(False)).alias("selected"))
+
+
 def store_table(t: Tables):
     """Store attributes from customers, with gaps on every seventh key."""
     gap = F.col("c_custkey") % 7 == 0
