@@ -10,8 +10,9 @@ with the bucket's smallest class only; the links found this way give components.
 classes that share a bucket but not a component, is compared in blocks of bounded size.
 
 Null and empty texts, and texts without words, have no shingles and are linked with nothing.
-A null id is linked with nothing and kept. Rows with the same id are one document. Empty tables
-give empty results; other columns of the input are not read.
+A null id is linked with nothing and kept. Rows that repeat an id are documents of their own, told apart by their
+texts; a component is named after the smallest id among its rows. Empty tables give empty results; other columns
+of the input are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import arrays
-from millrace.llm.shared import prepared, stored
+from millrace.llm.shared import prepared, stored, unused
 
 BANDS = 32
 ROWS = 5
@@ -67,7 +68,7 @@ def text_shingles(column: pa.Array, width: int) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, digest of the set, packed bits, band keys) of every row."""
+    """(id, mark of the text, n_shingles, digest of the set, packed bits, band keys) of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text"):
@@ -84,12 +85,21 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: st
                     packed.append(None)
                     bands.append(None)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
+                [piece.column("id"), piece.column("mark"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(packed, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "digest", "packed", "bands"])
+                ["id", "mark", "n_shingles", "digest", "packed", "bands"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        work, "id bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>")
+    return _texts(docs, id_col, text_col).mapInArrow(
+        work, "id bigint, mark bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>")
+
+
+def _mark(text_col: str) -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), _mark(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
 
 
 def estimate(left: Column, right: Column) -> Column:
@@ -107,17 +117,19 @@ def estimate(left: Column, right: Column) -> Column:
     return (same / F.lit(float(total)) - chance) / (1.0 - chance)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, members): the full sets of the wanted ids.
+def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(id, members): the full sets of the wanted (rep, id, mark, digest) classes, under their ``rep``.
 
-    Joined by a shuffle at any size: the wanted ids grow with the input.
+    Joined by a shuffle at any size: the wanted classes grow with the input.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text"):
             found = [s.tobytes() for s in text_shingles(piece.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found, pa.binary())], ["id", "members"])
+            same = [hashlib.blake2b(f, digest_size=16).digest() == d for f, d in zip(found, piece.column("digest").to_pylist())]
+            yield pa.RecordBatch.from_arrays([piece.column("rep"), pa.array(found, pa.binary())], ["id", "members"]).filter(pa.array(same, pa.bool_()))
 
-    return stored(docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(work, "id bigint, members binary").dropDuplicates(["id"]))
+    joined = texts.join(wanted.hint("merge"), ["id", "mark"]).select("rep", "text", "digest")
+    return stored(joined.mapInArrow(work, "id bigint, members binary").dropDuplicates(["id"]))
 
 
 def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -231,43 +243,59 @@ def _rest(members: DataFrame, classes: DataFrame, component: DataFrame, sets: Da
     return stored(asks.unionByName(answers).groupBy("main", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct())
 
 
-def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row.
-
-    Documents are linked where 100 * |intersection| >= percent * |union| of their sets of
-    ``width``-word shingles; ``component_id`` is the smallest id that can be reached.
-    """
+def _linked(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, mark, n_shingles, root, component_id) of every row; ``root`` names the component and is null for rows without one."""
     prepared(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stored(signatures(docs, width, id_col, text_col))
+    # classes are numbered once, in the stored table: ids may repeat, so they name none
     classes = stored(
         signed.where("n_shingles > 0 and id is not null").groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.min_by("packed", "id").alias("packed"), F.min_by("bands", "id").alias("bands")))
+        .agg(F.min(F.struct("id", "mark")).alias("least"), F.min_by("packed", "id").alias("packed"), F.min_by("bands", "id").alias("bands"))
+        .withColumn("rep", F.monotonically_increasing_id()))
     spread = classes.select("rep", F.explode("bands").alias("key"))
     heads = spread.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = stored(spread.join(heads, "key"))
     pairs = members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    sets = _sets(texts, members.select(F.col("rep").alias("id")).distinct(), width)
+    wanted = classes.select("rep", "least.id", "least.mark", "digest").join(members.select("rep").distinct(), "rep", "left_semi")
+    sets = _sets(_texts(docs, id_col, text_col), wanted, width)
     component = components(_confirm(pairs, classes, sets, percent))
     more = _rest(members.select("key", "rep"), classes, component, sets, percent)
     if not more.isEmpty():
         component = components(more.union(component.select(F.col("component").alias("a"), F.col("id").alias("b"))))
-    named = classes.select("digest", "rep").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("id", "n_shingles", "digest").join(named, "digest", "left")
-    # a document whose id is repeated may have several sets: its smallest component holds
-    return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")).withColumn(
+    rooted = stored(classes.select("digest", "rep", "least.id").join(component.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
+        "digest", "id", F.coalesce("component", "rep").alias("root")))
+    named = rooted.select("digest", "root").join(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "root")
+    out = signed.select("id", "mark", "n_shingles", "digest").join(named, "digest", "left")
+    return out.select("id", "mark", "n_shingles", F.when(F.col("id").isNotNull(), F.col("root")).alias("root"),
+                      F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+
+
+def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row.
+
+    Documents are linked where 100 * |intersection| >= percent * |union| of their sets of
+    ``width``-word shingles; ``component_id`` is the smallest id that can be reached.
+    """
+    return _linked(docs, width, percent, id_col, text_col).select("id", "n_shingles", "component_id").withColumn(
         "kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def without_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of one document of each group; documents without words stay.
+    """One row of each group, that of its smallest id; documents without words or id stay.
 
-    Of rows that repeat an id, one stays.
+    Rows are told apart by id and text, so an unlike text under a repeated id stays.
     """
-    found = near_copies(docs, width, percent, id_col, text_col)
-    gone = stored(found.where(~F.col("kept")).select(F.col("id").alias("_gone")).distinct())
-    left = docs.join(gone, F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti")
-    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1)
-    return left if repeated.isEmpty() else left.where(F.col(id_col).isNull()).unionByName(
-        left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    rows = stored(_linked(docs, width, percent, id_col, text_col).where("root is not null").groupBy("root", "id", "mark").agg(F.count("*").alias("n")))
+    first = rows.groupBy("root").agg(F.min(F.struct("id", "mark")).alias("first"))
+    name = {c: unused(docs, f"_{c}") for c in ("id", "mark")}
+    judged = rows.join(first, "root").withColumn("stays", F.struct("id", "mark") == F.col("first"))
+    gone = stored(judged.where(~F.col("stays")).select(F.col("id").alias(name["id"]), F.col("mark").alias(name["mark"])).distinct())
+    same = (F.col(f"`{id_col}`").cast("bigint") == F.col(name["id"])) & (_mark(f"`{text_col}`") == F.col(name["mark"]))
+    left = docs.join(gone, same, "left_anti")
+    again = judged.where("stays and n > 1").select(F.col("id").alias(name["id"]), F.col("mark").alias(name["mark"]))
+    if again.isEmpty():
+        return left
+    # equal rows: one of each
+    again = stored(again.distinct())
+    once = docs.join(again, same, "inner").dropDuplicates([name["id"], name["mark"]]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.join(again, same, "left_anti").unionByName(once)

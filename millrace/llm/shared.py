@@ -34,6 +34,14 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if a column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame as a Parquet table below ``spark.checkpoint.dir``.
 
