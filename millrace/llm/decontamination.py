@@ -10,7 +10,7 @@ TF-IDF with document frequencies counted over the whole corpus.
 
 The benchmark is taken in blocks of bounded size, so what is broadcast never grows with it.
 Null and empty texts, and benchmark items of fewer than ``LEAST_WORDS`` words, match nothing.
-Rows that repeat an id are one document; a null id is answered like any other. Repeated items
+``flagged`` answers rows that repeat an id as one document, a null id like any other; ``clean`` looks at each row. Repeated items
 each count. Empty tables give no match. Only the id and text columns are read.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm import arrays
-from millrace.llm.shared import prepared, stored
+from millrace.llm.shared import prepared, stored, unused
 
 STRIDE = 32
 """Words of a block; windows are two or four blocks, as the item needs."""
@@ -418,6 +418,12 @@ def flagged(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    gone = leaks(docs, benchmark, id_col, text_col).select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item.
+
+    Rows are told apart by id and text: a clean text under the id of another, or without an id, stays.
+    """
+    row, text = (F.col(f"`{c}`").cast("string") for c in (id_col, text_col))
+    key = F.xxhash64(row.isNull(), row, text)
+    gone = leaks(docs.select(key.alias("doc_id"), text.alias("text")), benchmark)
+    name = unused(docs, "_gone")
+    return docs.join(gone.select(F.col("id").alias(name)).distinct(), key == F.col(name), "left_anti")
