@@ -34,10 +34,12 @@ def unescape(text: Column) -> Column:
 def format_chats(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """(id, formatted, loss_spans): the text and the code points [start, end) of assistant texts."""
     tuned(turns.sparkSession)
-    role = F.replace(escape(F.coalesce(F.col("role").cast("string"), F.lit(""))), F.lit("\n"), F.lit(LINE))
-    rows = turns.select(F.col(id_col).alias("id"), F.struct(
-        F.col("turn").alias("turn"), role.alias("role"), escape(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text")).alias("t"))
-    sorted_ = rows.groupBy("id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    whole = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = turns.select(F.col(id_col).alias("id"), F.struct(F.col("turn").alias("turn"), whole("role").alias("role"), whole("text").alias("text")).alias("t"))
+    # turns are put in order as they were given, and escaped then
+    ordered = F.transform(F.array_sort(F.collect_list("t")), lambda t: F.struct(
+        F.replace(escape(t["role"]), F.lit("\n"), F.lit(LINE)).alias("role"), escape(t["text"]).alias("text")))
+    sorted_ = rows.groupBy("id").agg(ordered.alias("turns"))
 
     def opened(t: Column, i: Column) -> Column:
         before = F.get(F.col("turns"), i - 1)["role"]
