@@ -155,19 +155,23 @@ def distinct_texts(words: Sequence[np.ndarray], labels: Sequence[tuple]) -> np.n
 
 
 def fit_rows(ids: np.ndarray, toxic: np.ndarray, quality: np.ndarray, words: Sequence[np.ndarray]) -> Chain:
-    toxic, quality = np.nan_to_num(np.asarray(toxic, float)), np.nan_to_num(np.asarray(quality, float), nan=1.0)
-    single = distinct_texts(words, list(zip(toxic.tolist(), quality.tolist())))
+    """Each category is learned from the rows that have its label."""
+    toxic, quality = np.asarray(toxic, float), np.asarray(quality, float)
+    single = distinct_texts(words, list(zip(np.nan_to_num(toxic, nan=-1.0).tolist(), np.nan_to_num(quality, nan=-1.0).tolist())))
     ids, toxic, quality, words = np.asarray(ids)[single], toxic[single], quality[single], [words[k] for k in single]
     n = len(ids)
     text = np.repeat(np.arange(n, dtype=np.int32), [len(w) for w in words]) if n else np.zeros(0, np.int32)
     hashes = np.concatenate(words) if n else np.zeros(0, np.uint64)
-    labels = {"junk": (quality < 0.5).astype(np.float32), "toxic": (toxic > 0.5).astype(np.float32)}
+    has = {"junk": ~np.isnan(quality), "toxic": ~np.isnan(toxic), "severe": ~np.isnan(toxic)}
+    labels = {"junk": (np.nan_to_num(quality, nan=1.0) < 0.5).astype(np.float32), "toxic": (np.nan_to_num(toxic) > 0.5).astype(np.float32)}
     chosen: dict[int, float] = {}
     telling: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     known, place = np.unique(hashes, return_inverse=True)
     place = place.astype(np.int32)
     for name, y in labels.items():
-        telling[name] = names, z = _telling(known, place, text, y)
+        rows = has[name]
+        inside, number = rows[text], np.cumsum(rows) - 1
+        telling[name] = names, z = _telling(known, place[inside], number[text[inside]], y[rows])
         top = np.argsort(-np.abs(z), kind="stable")[: FEATURES // 2]
         chosen.update({int(h): 0.0 for h in names[top]})
     features = np.array(sorted(chosen), np.uint64)
@@ -179,17 +183,17 @@ def fit_rows(ids: np.ndarray, toxic: np.ndarray, quality: np.ndarray, words: Seq
     earlier: list[np.ndarray] = []
     weights = []
     for name in CATEGORIES:
-        y = labels[name]
+        y, rows = labels[name], has[name]
         full = np.column_stack([x, *earlier]).astype(np.float32) if earlier else x
         out = np.zeros(n, np.float32)
         for k in range(FOLDS):
             inside = fold == k
             if inside.any():
-                out[inside] = chance(full[inside], fit_logistic(full[~inside], y[~inside], penalty=0.02))
-        weights.append(fit_logistic(full, y, penalty=0.02))
+                out[inside] = chance(full[inside], fit_logistic(full[~inside & rows], y[~inside & rows], penalty=0.02))
+        weights.append(fit_logistic(full[rows], y[rows], penalty=0.02))
         earlier.append(out)
     at = CATEGORIES.index("toxic")
-    marked = (x[:, weights[at][: len(features)] > 0].sum(axis=1) > 0) if n else np.zeros(0, bool)
+    marked = (x[:, weights[at][: len(features)] > 0].sum(axis=1) > 0) & has["toxic"] if n else np.zeros(0, bool)
     return Chain(CATEGORIES, features, weights, _best_threshold(earlier[at][marked], labels["toxic"][marked]))
 
 
