@@ -140,7 +140,8 @@ def pivot_search(train: DataFrame, queries: DataFrame, key: str, vector: str, ca
     rows = train.where(known).select(F.col(key).alias("neighbour"), F.col(vector).cast("array<double>").alias("v"), F.col(carry).alias("carry"))
     asked = queries.where(known).select(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("v"))
     total = rows.count()
-    middle = find_pivots(rows, "neighbour", "v", width, pivots or max(1, int(total ** 0.5)))
+    # a table of one part is compared as a whole: its cells would cost more than they save
+    middle = find_pivots(rows, "neighbour", "v", width, pivots or (1 if total <= PART else int(total ** 0.5)))
     if not len(middle):
         middle = np.zeros((1, width))
     placed = _stored(_with_cells(rows, middle, width))
@@ -151,6 +152,9 @@ def pivot_search(train: DataFrame, queries: DataFrame, key: str, vector: str, ca
     asked = _stored(_with_cells(asked, middle, width))
 
     own = asked.select("query", "v", "cell", F.lit(float("inf")).alias("bound"))
+    if len(middle) == 1:
+        pairs = total * asked.count()
+        return _nearest_of(_searched(placed, own, parts, k, width), k), {"pairs": pairs, "compared": pairs}
     first = _stored(_nearest_of(_searched(placed, own, parts, k, width), k)).persist(StorageLevel.MEMORY_AND_DISK)
     reach = first.groupBy("query").agg(F.max("distance").alias("bound"), F.count("*").alias("n")).select(
         "query", F.when(F.col("n") >= k, F.col("bound") * (1 + SLACK)).otherwise(F.lit(float("inf"))).alias("bound"))

@@ -39,11 +39,19 @@ def test_equal_to_all_distances(spark, monkeypatch, small):
     train = centres[draw.integers(0, 12, 700)] + draw.normal(size=(700, 6))
     queries = centres[draw.integers(0, 12, 90)] + draw.normal(size=(90, 6))
     t, q = frames(spark, train, queries)
-    found, counts = N.pivot_search(t, q, "id", "v", "c", 5, 6)
+    found, counts = N.pivot_search(t, q, "id", "v", "c", 5, 6, pivots=26)
     assert got(found) == plain(train, queries, 5)
     assert counts["pairs"] == 700 * 90 and counts["compared"] < 0.5 * counts["pairs"]  # cells far away are never looked at
 
 
+def test_one_cell(spark):
+    draw = np.random.default_rng(8)
+    train, queries = draw.normal(size=(200, 3)), draw.normal(size=(40, 3))
+    t, q = frames(spark, train, queries)
+    found, counts = N.pivot_search(t, q, "id", "v", "c", 3, 3)
+    assert got(found) == plain(train, queries, 3) and counts["compared"] == counts["pairs"] == 8000
+
+
 def test_ties_and_copies(spark):
     grid = np.array([[a, b] for a in range(8) for b in range(8)] * 3, float)  # every vector three times
     t, q = frames(spark, grid, grid[:64] + [0.5, 0.0])
