@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.session import scratch_folder, shipped
+from millrace.session import scratch_table, shipped
 
 DENSE_CELLS = 2_000_000
 """Cells of a block that is unfolded to be multiplied; wider rows stay sparse."""
@@ -96,7 +96,7 @@ def width_of(df: DataFrame, features: str) -> int:
 def pack(df: DataFrame, features: str, label: str, key: str, width: int, fold: Column | None = None, batch: Column | None = None) -> DataFrame:
     """Stored blocks of the rows with a label, kept in memory or on disk; rows of one ``batch`` number share blocks.
 
-    The caller unpersists them.
+    The caller discards them.
     """
     spark = shipped(df.sparkSession)
     fold = F.lit(-1) if fold is None else fold
@@ -135,9 +135,7 @@ def pack(df: DataFrame, features: str, label: str, key: str, width: int, fold: C
         if rows:
             yield packed(number, held)
 
-    path = scratch_folder(spark)
-    rows.mapInArrow(work, _SCHEMA).write.mode("overwrite").parquet(path)
-    return spark.read.schema(_SCHEMA).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    return scratch_table(rows.mapInArrow(work, _SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def summed(blocks: DataFrame, width: int, work: Callable[[Block], Sequence[np.ndarray]], shapes: Sequence[tuple[int, ...]]) -> list[np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.metrics import roc_auc
-from millrace.session import scratch_folder, shipped
+from millrace.session import discard, scratch_table, shipped
 
 MISSING = 255
 MOST_BINS = 254
@@ -462,14 +462,8 @@ class Boosted:
                        [Tree(**rows[i]) for i in sorted(rows)], History(head["scores"], head["larger"]))
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    path = scratch_folder(rows.sparkSession)
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _kept(rows: DataFrame) -> DataFrame:
-    return _stored(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    return scratch_table(rows).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _inputs(df: DataFrame, features: Sequence[str], label: str, key: str, fold: Column) -> DataFrame:
@@ -479,7 +473,7 @@ def _inputs(df: DataFrame, features: Sequence[str], label: str, key: str, fold:
         F.xxhash64(F.col(key).cast("string")).alias("draw"), F.col(label).cast("double").alias("label"), fold.cast("int").alias("fold"), *columns)
     cores = df.sparkSession.sparkContext.defaultParallelism
     # a small table in a few parts would leave cores idle in every pass
-    return _stored(rows.repartition(cores, "draw") if rows.rdd.getNumPartitions() < cores else rows)
+    return scratch_table(rows.repartition(cores, "draw") if rows.rdd.getNumPartitions() < cores else rows)
 
 
 def _blocks(inputs: DataFrame, edges: list[np.ndarray], bases: list[float]) -> DataFrame:
@@ -519,7 +513,7 @@ def _refreshed(state: _State) -> None:
             yield _packed(block)
 
     before, state.rows = state.rows, _kept(state.rows.mapInArrow(work, _ROW))
-    before.unpersist()
+    discard(before)
     state.pending = []
 
 
@@ -576,7 +570,8 @@ def _boost(df: DataFrame, features: Sequence[str], label: str, key: str, fold: C
             if len(state.pending) >= REFRESH:
                 _refreshed(state)
     finally:
-        state.rows.unpersist()
+        discard(state.rows)
+        discard(inputs)
     for model in fitted:
         model.history = history
     return fitted, history

@@ -23,7 +23,7 @@ from millrace.functions.hashing import hash_number
 from millrace.operators import blocks as K
 from millrace.operators.ordered import split_points, tag_range
 from millrace.operators.stored_models import StoredModel
-from millrace.session import scratch_folder, shipped
+from millrace.session import discard, scratch_table, shipped
 
 
 def pooled(low: np.ndarray, high: np.ndarray, total: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -121,11 +121,10 @@ class CrossCalibratedSVM(Estimator, DefaultParamsReadable, DefaultParamsWritable
         from millrace.operators.models import in_parallel
 
         v = {p.name: self.getOrDefault(p) for p in self.params}
-        spark = shipped(dataset.sparkSession)
+        shipped(dataset.sparkSession)
         fold = (hash_number(v["keyCol"], "calibration") % v["folds"]).cast("int")
-        path = scratch_folder(spark)
-        dataset.select(F.col(v["featuresCol"]).alias("features"), F.col(v["labelCol"]).cast("double").alias("label"), fold.alias("fold")).write.parquet(path)
-        rows = spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = scratch_table(dataset.select(F.col(v["featuresCol"]).alias("features"), F.col(v["labelCol"]).cast("double").alias("label"), fold.alias("fold")))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         jobs = [(f, k) for f in range(v["folds"]) for k in range(v["classes"])]
 
         def fit(job):
@@ -147,7 +146,7 @@ class CrossCalibratedSVM(Estimator, DefaultParamsReadable, DefaultParamsWritable
             held = rows.select("fold", "label", F.posexplode(own).alias("class", "score"))
             steps = isotonic_steps(held.withColumn("is_class", (F.col("label") == F.col("class")).cast("double")), "score", "is_class", ["fold", "class"])
         finally:
-            rows.unpersist()
+            discard(rows)
         model.content["steps"] = [steps.get(job) for job in jobs]
         return model
 

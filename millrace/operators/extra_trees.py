@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.boosting import _lists, _spread
 from millrace.operators.stored_models import StoredModel
-from millrace.session import scratch_folder, shipped
+from millrace.session import discard, scratch_table, shipped
 
 CELLS = 1_000_000
 """Numbers of one block of nodes that come to the driver."""
@@ -195,11 +195,9 @@ class ExtraTreesClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritab
 
     def grow(self, data: DataFrame) -> tuple[list[_Nodes], int]:
         """The trees over (x array<double>, label double) and the number of classes."""
-        spark = shipped(data.sparkSession)
+        shipped(data.sparkSession)
         value = {p.name: self.getOrDefault(p) for p in self.params}
-        path = scratch_folder(spark)
-        data.where("label is not null").write.mode("overwrite").parquet(path)
-        rows = spark.read.schema(data.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = scratch_table(data.where("label is not null")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             head = rows.agg(F.max("label").alias("k"), F.max(F.size("x")).alias("w")).first()
             classes, width = int(head["k"] if head["k"] is not None else 0) + 1, head["w"] or 0
@@ -219,7 +217,7 @@ class ExtraTreesClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritab
                     break
             return trees, classes
         finally:
-            rows.unpersist()
+            discard(rows)
 
     @staticmethod
     def _split(rows, trees, block, width, classes, columns, value) -> list[tuple[int, int]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators import blocks as K
 from millrace.operators.boosting import _spread
 from millrace.operators.stored_models import StoredModel
-from millrace.session import shipped
+from millrace.session import discard, shipped
 
 ACTIVATIONS = ("relu", "tanh", "sigmoid")
 
@@ -131,7 +131,7 @@ class DenseNetwork(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             try:
                 weights, history = self._train(rows, width, weights, kinds, dropped, v)
             finally:
-                rows.unpersist()
+                discard(rows)
         return NetworkModel({"weights": [w.tolist() for w in weights], "kinds": kinds, "features": v["featuresCol"], "losses": history, "width": width})
 
     @staticmethod

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import blocks as K
 from millrace.operators.stored_models import StoredModel
-from millrace.session import shipped
+from millrace.session import discard, shipped
 
 NEWTON_WIDTH = 400
 CURVATURES = 8_000_000
@@ -193,7 +193,7 @@ def logistic_path(df: DataFrame, penalties: Sequence[float], key: str, fold: str
             weights[some], held[some] = found.reshape(len(some), folds + 1, -1), losses.reshape(len(some), -1)
             used += more
     finally:
-        rows.unpersist()
+        discard(rows)
     raw = weights.copy()
     raw[..., :-1] /= problem.scale
     raw[..., -1] -= raw[..., :-1] @ problem.center

@@ -81,3 +81,22 @@ def scratch_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """The frame written as Parquet below ``scratch_folder`` and read again; ``discard`` deletes it."""
+    path = scratch_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what ``scratch_table`` wrote, once no later job reads it."""
+    table.unpersist()
+    path = getattr(table, "_scratch", None)
+    if path is not None:
+        spark = table.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
