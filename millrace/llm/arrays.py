@@ -73,6 +73,40 @@ def lower_latin(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def lower_letters(data: np.ndarray) -> np.ndarray:
+    """Lower case of A-Z and of the Latin-1, Greek and Cyrillic letters without further marks."""
+    out = lower_latin(data)
+    if not ((data >= 0xCE) & (data <= 0xD0)).any():
+        return out
+    lead, tail = data[:-1], data[1:]
+    greek, cyrillic = lead == 0xCE, lead == 0xD0
+    for chosen, step, moved in ((greek & (tail >= 0x91) & (tail <= 0x9F), 0x20, 0), (greek & (tail >= 0xA0) & (tail <= 0xAB), -0x20, 1),
+                                (cyrillic & (tail >= 0x90) & (tail <= 0x9F), 0x20, 0), (cyrillic & (tail >= 0xA0) & (tail <= 0xAF), -0x20, 1),
+                                (cyrillic & (tail >= 0x80) & (tail <= 0x8F), 0x10, 1)):
+        at = np.flatnonzero(chosen)
+        out[at] += np.uint8(moved)
+        out[at + 1] = (out[at + 1].astype(np.int16) + step).astype(np.uint8)
+    return out
+
+
+def characters_apart(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray):
+    """The spans with each character of a script without blanks (Han, kana, Thai, Lao, Khmer, Burmese) as its own."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead) or not len(starts):
+        return starts, ends, text
+    first, second = data[lead], data[np.minimum(lead + 1, len(data) - 1)]
+    three = ((first >= 0xE3) & (first <= 0xE9)) | ((first == 0xE0) & (second >= 0xB8) & (second <= 0xBB))
+    three |= (first == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    four = (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    alone = lead[three | four]
+    cuts = np.concatenate([starts, alone, alone + np.where(four, 4, 3)[three | four]])
+    cuts = np.unique(cuts)
+    word = np.searchsorted(starts, cuts, "right") - 1
+    inside = (word >= 0) & (cuts < ends[word])
+    cuts, word = cuts[inside], word[inside]
+    return cuts, np.minimum(ends[word], np.append(cuts[1:], len(data))), text[word]
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACES):
     """Start, end and text number of every word, a longest run without bytes of ``gaps``."""
     solid = ~gaps[data]

@@ -1,15 +1,20 @@
-"""Benchmark passages in documents, with their latent semantic similarity.
+"""Benchmark passages in documents, found by latent semantic retrieval and by words in common.
 
-Texts are cut into overlapping windows of words. Every pair of a window and a benchmark item (or a
-part of a long one) with at least half of the item's words in common is compared; frequent words are
-counted by a matrix product, the others by lookup. The item is found if the longest common
-subsequence of its words with a stretch is long enough, or a shorter one together with the item's
-answer (its last sentence). No similarity decides before that. Stretches found get a cosine in the
-latent space of a distributed randomised SVD of the items and of all stretches found, weighted by
-TF-IDF with document frequencies counted over the whole corpus.
+Texts are cut into blocks of words. The TF-IDF vectors of all blocks of the corpus and of the
+benchmark items span a latent space, the leading directions of a distributed randomised SVD, with
+document frequencies counted over the whole corpus. Every window of blocks is then compared with
+every benchmark item (or part of a long one). A window is a candidate for an item if the cosine in
+the latent space is high, or if it holds at least half of the item's words; so the latent space adds
+paraphrases and never loses an item that stands there literally. A candidate is confirmed by the
+longest common subsequence of its words with a stretch of the window: a long one, a shorter one with
+the item's answer (its last sentence) or a high cosine, or a still shorter one with both.
+
+Words are runs of letters and digits without regard to case; in scripts written without blanks
+(Han, kana, Thai, Lao, Khmer, Burmese) each character is a word. Items of two to four words are
+found where these stand in a row; an item of one word only where it is the whole text.
 
 The benchmark is taken in blocks of bounded size, so what is broadcast never grows with it.
-Null and empty texts, and benchmark items of fewer than ``LEAST_WORDS`` words, match nothing.
+Null and empty texts, and items without a word, match nothing.
 ``flagged`` answers rows that repeat an id as one document, a null id like any other; ``clean`` looks at each row. Repeated items
 each count. Empty tables give no match. Only the id and text columns are read.
 """
@@ -33,6 +38,7 @@ STRIDE = 32
 ITEM_WORDS = 64
 """Longer benchmark items are cut into passages of so many words."""
 LEAST_WORDS = 5
+"""Shorter items are sought as exact sequences."""
 ITEMS_AT_ONCE = 1_000
 CHARS_AT_ONCE = 500_000
 RANK = 128
@@ -44,14 +50,19 @@ COMMON = 0.01
 CELLS = 1 << 22
 """Cells of a matrix of windows and parts that are worked on at once."""
 GAP = 3
-COPIED, PARAPHRASED, ANSWERED = 0.7, 0.5, 0.8
+COPIED, PARAPHRASED, RETOLD = 0.7, 0.5, 0.4
+"""Shares of an item in order: enough alone, with an answer or a high cosine, with both."""
+ANSWERED = 0.8
+NEIGHBOUR, SIMILAR, ALIKE = 0.25, 0.4, 0.5
+"""Cosines: of a window that is a candidate, of a stretch retold with its answer, of a paraphrase without it."""
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and their text numbers."""
     data, offsets = arrays.flat(column)
-    data = arrays.lower_latin(data)
+    data = arrays.lower_letters(data)
     starts, ends, text = arrays.word_spans(data, offsets, arrays.NOT_WORD)
+    starts, ends, text = arrays.characters_apart(data, starts, ends, text)
     return arrays.span_hashes(data, starts, ends, 31), text
 
 
@@ -103,7 +114,7 @@ def _items(ids: list, texts: list[str]) -> Items:
         return [h[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
     words = hashed(texts)
-    last = [[s for s in re.split(r"(?<=[.!?:])\s+", t.strip()) if s] for t in texts]
+    last = [[s for s in re.split(r"(?<=[.!?:])\s+|(?<=[\u3002\uff01\uff1f])", t.strip()) if s] for t in texts]
     answers = hashed([s[-1] if len(s) > 1 else "" for s in last])
     answers = [a if 3 <= len(a) < len(w) else w[-max(3, len(w) // 4):] for a, w in zip(answers, words)]
     owner, parts = [], []
@@ -123,13 +134,26 @@ def _numbers(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np
     return hit, place[hit]
 
 
-def _frequencies(texts: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """Blocks of the corpus that hold each word, and all blocks."""
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Slices of a number array as binary values."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _joined(words: pa.Array, numbers: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and numbers of all rows of a batch, and the bounds of the rows."""
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return arrays.flat(column.cast(pa.large_binary()).view(pa.large_string()))
+
+    data, ends = flat(words)
+    return data.view(np.int32), flat(numbers)[0].view(kind), ends // 4
+
+
+def _passages(texts: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """(words, times): the words of the vocabulary in every block of the corpus; blocks without any are empty."""
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = shared.value
-        counts, blocks = np.zeros(len(names), np.int64), 0
         for piece in arrays.pieces(batches, "text"):
             hashes, text = tokens(piece.column("text"))
             if not len(hashes):
@@ -138,22 +162,56 @@ def _frequencies(texts: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
             block = (np.arange(len(text)) - first) // STRIDE
             start = np.ones(len(text), bool)
             start[1:] = (block[1:] != block[:-1]) | (text[1:] != text[:-1])
-            number = np.cumsum(start)
-            blocks += int(number[-1])
+            number = np.cumsum(start) - 1
             hit, word = _numbers(hashes, names)
-            pair = np.unique(number[hit] * np.int64(len(names)) + word)
-            counts += np.bincount(pair % len(names), minlength=len(names))
+            pair, times = np.unique(number[hit] * np.int64(len(names)) + word, return_counts=True)
+            offsets = np.searchsorted(pair, np.arange(number[-1] + 2) * np.int64(len(names)))
+            yield pa.RecordBatch.from_arrays([_binary((pair % len(names)).astype(np.int32), offsets), _binary(times.astype(np.uint8), offsets)],
+                                             ["words", "times"])
+
+    return texts.select("text").mapInArrow(work, "words binary, times binary")
+
+
+def _frequencies(passages: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """Blocks of the corpus that hold each word, and all blocks."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, blocks = np.zeros(width, np.int64), 0
+        for batch in batches:
+            words, _, bounds = _joined(batch.column(0), batch.column(1), np.uint8)
+            blocks += len(bounds) - 1
+            counts += np.bincount(words, minlength=width)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(counts[some], blocks), pa.int64())],
                                          ["word", "n"])
 
-    rows = texts.select("text").mapInArrow(work, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(len(vocabulary), np.int64)
+    rows = passages.mapInArrow(work, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(width, np.int64)
     inside = rows["word"] >= 0
     counts[rows["word"][inside].to_numpy(np.int64)] = rows["n"][inside].to_numpy(np.int64)
     return counts, int(rows["n"][~inside].sum())
 
 
+def _weighed(passages: DataFrame, value: np.ndarray) -> DataFrame:
+    """(words, weights, energy): TF-IDF vectors of the blocks that hold a word of some weight."""
+    shared = passages.sparkSession.sparkContext.broadcast(value)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value = shared.value
+        for batch in batches:
+            words, times, bounds = _joined(batch.column(0), batch.column(1), np.uint8)
+            heavy = value[words] > 0
+            row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[heavy]
+            weights = (value[words[heavy]] * (1 + np.log(times[heavy]))).astype(np.float32)
+            filled, first = np.unique(row, return_index=True)
+            if len(filled):
+                offsets = np.append(first, len(row))
+                energy = np.add.reduceat(weights.astype(np.float64) ** 2, first)
+                yield pa.RecordBatch.from_arrays([_binary(words[heavy], offsets), _binary(weights, offsets), pa.array(energy)],
+                                                 ["words", "weights", "energy"])
+
+    return passages.mapInArrow(work, "words binary, weights binary, energy double")
+
+
 @dataclass
 class Sought:
     """Parts whose matches fit into windows of ``wide`` blocks, and how often each holds each word."""
@@ -161,6 +219,7 @@ class Sought:
     wide: int
     part: np.ndarray
     least: np.ndarray
+    loose: np.ndarray
     dense: np.ndarray
     first: np.ndarray
     holder: np.ndarray
@@ -210,34 +269,87 @@ def _sought(items: Items, usual: np.ndarray) -> tuple[list[Sought], np.ndarray]:
             times.append(n[~often])
         order = np.argsort(np.concatenate(word), kind="stable")
         first = np.searchsorted(np.concatenate(word)[order], np.arange(len(usual) + 1))
-        out.append(Sought(wide, chosen, np.ceil(PARAPHRASED * length[chosen]), dense, first,
+        out.append(Sought(wide, chosen, np.ceil(PARAPHRASED * length[chosen]), np.ceil(RETOLD * length[chosen]), dense, first,
                           np.concatenate(holder)[order], np.concatenate(times)[order].astype(np.float64)))
     return out, number
 
 
-def _rows(texts: DataFrame, items: Items, value: np.ndarray, usual: np.ndarray) -> DataFrame:
-    """(id, part, share, words, weights): the best stretch of each text for each part it holds.
+@dataclass
+class Space:
+    """The latent space of a block of items: weights of words, their directions, the unit vectors of the parts."""
+
+    value: np.ndarray
+    basis: np.ndarray
+    parts: np.ndarray
+
+    def blocks(self, slot: np.ndarray, word: np.ndarray, slots: int) -> np.ndarray:
+        """Latent vectors of blocks, from (slot, word) of the texts' words in order of slots."""
+        out = np.zeros((slots, self.basis.shape[1]), np.float32)
+        heavy = self.value[word] > 0
+        pair, times = np.unique(slot[heavy] * np.int64(len(self.value)) + word[heavy], return_counts=True)
+        slot, word = pair // len(self.value), pair % len(self.value)
+        some, first = np.unique(slot, return_index=True)
+        if len(some):
+            weight = (self.value[word] * (1 + np.log(times))).astype(np.float32)
+            out[some] = np.add.reduceat(self.basis[word] * weight[:, None], first, axis=0)
+        return out
+
+    def cosines(self, blocks: np.ndarray, wide: int, windows: int, part: np.ndarray) -> np.ndarray:
+        """Cosine of every window of ``wide`` blocks with every part."""
+        total = sum(blocks[k: k + windows] for k in range(wide))
+        total = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-12)
+        return total @ self.parts[part].T
+
+    def cosine(self, word: np.ndarray, part: int) -> float:
+        point = self.blocks(np.zeros(len(word), np.int64), word, 1)[0]
+        return float(self.parts[part] @ point) / max(float(np.linalg.norm(point)), 1e-12)
+
+
+def _exact(items: Items) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, keys, parts) of the items that are sought as sequences of so many words, keys in order."""
+    out = []
+    for size in range(1, LEAST_WORDS):
+        parts = np.array([p for p, k in enumerate(items.owner) if len(items.words[k]) == size], np.int64)
+        if len(parts):
+            keys = np.array([_sequence(items.parts[p], size)[0] for p in parts], np.uint64)
+            order = np.argsort(keys, kind="stable")
+            out.append((size, keys[order], parts[order]))
+    return out
+
+
+def _sequence(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A number for every run of ``size`` words."""
+    count = max(0, len(hashes) - size + 1)
+    total = np.zeros(count, np.uint64)
+    for k, factor in enumerate(arrays.factors(size, 11)):
+        total += hashes[k: k + count] * factor
+    return arrays.mix(total)
 
-    Every pair of a part and a window with enough words in common is compared, so no match is missed.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast((items, value, *_sought(items, usual)))
 
-    def matched(part: int, hashes: np.ndarray, begin: int, end: int, opening: int, closing: int) -> tuple[float, int, int] | None:
-        """Share and stretch of the part in a window of the text, if it is a match."""
-        items = shared.value[0]
+def _rows(texts: DataFrame, items: Items, space: Space, usual: np.ndarray) -> DataFrame:
+    """(id, item_id, cosine, share): the best stretch of each text for each part of an item that it holds."""
+    shared = texts.sparkSession.sparkContext.broadcast((items, space, *_sought(items, usual), _exact(items)))
+
+    def matched(part: int, hashes: np.ndarray, known: np.ndarray, begin: int, end: int, opening: int, closing: int) -> tuple[float, float] | None:
+        """Share and cosine of the part in a window of the text, if it is a match."""
+        items, space = shared.value[:2]
         item = items.parts[part]
         share, at = best_run(item, hashes[opening:closing])
         at += opening
-        if share < PARAPHRASED:
+        if share < RETOLD:
             return None
-        if share < COPIED:
-            answer = items.answers[items.owner[part]]
-            if common_run(answer, hashes[max(begin, at - len(item)): min(end, at + 3 * len(item))]) < ANSWERED * len(answer):
-                return None
-        return share, at, min(end, at + _span(len(item)))
+        words = known[at: min(end, at + _span(len(item)))]
+        cosine = space.cosine(words[words < len(items.vocabulary)], part)
+        if share >= COPIED or (share >= PARAPHRASED and cosine >= ALIKE):
+            return share, cosine
+        answer = items.answers[items.owner[part]]
+        answered = common_run(answer, hashes[max(begin, at - len(item)): min(end, at + 3 * len(item))]) >= ANSWERED * len(answer)
+        if answered and (share >= PARAPHRASED or cosine >= SIMILAR):
+            return share, cosine
+        return None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, value, groups, number = shared.value
+        items, space, groups, number, exact = shared.value
         names = items.vocabulary
         for piece in arrays.pieces(batches, "text"):
             hashes, text = tokens(piece.column("text"))
@@ -249,21 +361,31 @@ def _rows(texts: DataFrame, items: Items, value: np.ndarray, usual: np.ndarray)
                 continue
             known = np.full(len(hashes), len(names), np.int64)
             known[hit] = word
+            best: dict[tuple[int, int], tuple[float, float]] = {}
+            for size, keys, parts in exact:
+                key = _sequence(hashes, size)
+                low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+                for at in np.flatnonzero(high > low):
+                    d = int(text[at])
+                    if at + size <= begin[d + 1] and (size > 1 or begin[d + 1] - begin[d] == 1):
+                        best.update({(d, int(p)): (1.0, 1.0) for p in parts[low[at]:high[at]]})
             # texts are kept apart by blank slots
             blocks = (np.diff(begin) + STRIDE - 1) // STRIDE
             base = np.cumsum(blocks + GAP) - blocks - GAP
             slot = base[text[hit]] + (hit - begin[text[hit]]) // STRIDE
             slots = int(base[-1] + blocks[-1])
-            best: dict[tuple[int, int], tuple[float, int, int]] = {}
             for group in groups:
-                step = max(1, CELLS // max(len(group.part), len(group.dense)))
+                step = max(1, CELLS // max(len(group.part), len(group.dense), space.basis.shape[1]))
                 for opened in range(0, slots, step):
                     windows = min(step, slots - opened)
                     low, high = np.searchsorted(slot, [opened, opened + windows + group.wide - 1])
                     if low == high:
                         continue
                     common = group.common(slot[low:high] - opened, word[low:high], number, windows)
-                    column, window = np.nonzero((common >= group.least).T)
+                    latent = space.blocks(slot[low:high] - opened, word[low:high], windows + group.wide - 1)
+                    near = space.cosines(latent, group.wide, windows, group.part) >= NEIGHBOUR
+                    # a neighbour without so many words in common can't be confirmed
+                    column, window = np.nonzero(((common >= group.least) | (near & (common >= group.loose))).T)
                     doc = np.searchsorted(base, window + opened, "right") - 1
                     real = window + opened - base[doc] < blocks[doc]
                     column, window, doc = column[real], window[real] + opened, doc[real]
@@ -279,30 +401,20 @@ def _rows(texts: DataFrame, items: Items, value: np.ndarray, usual: np.ndarray)
                         mark = own[known[np.minimum(place, len(known) - 1)]] & (place < ends[:, None])
                         total = np.cumsum(np.pad(mark, ((0, 0), (1, 0))), axis=1, dtype=np.int16)
                         span = min(_span(len(items.parts[part])), group.wide * STRIDE)
-                        dense = (total[:, span:] - total[:, :-span]).max(axis=1) >= group.least[column[low]]
+                        dense = (total[:, span:] - total[:, :-span]).max(axis=1) >= group.loose[column[low]]
                         for j in low + np.flatnonzero(dense):
                             d = int(doc[j])
                             end = int(begin[d + 1])
-                            got = matched(part, hashes, int(begin[d]), end, int(opening[j]), min(end, int(opening[j]) + group.wide * STRIDE))
-                            if got and got[0] > best.get((d, part), (0.0,))[0]:
+                            got = matched(part, hashes, known, int(begin[d]), end, int(opening[j]), min(end, int(opening[j]) + group.wide * STRIDE))
+                            if got and got > best.get((d, part), (0.0, 0.0)):
                                 best[d, part] = got
-            rows: list[tuple] = []
-            for (d, part), (share, start, end) in sorted(best.items()):
-                some, times = np.unique(known[start:end], return_counts=True)
-                some, times = some[some < len(names)], times[some < len(names)]
-                some, times = some[value[some] > 0], times[value[some] > 0]
-                rows.append((d, part, share, some.astype(np.int32).tobytes(), (value[some] * (1 + np.log(times))).astype(np.float32).tobytes()))
-            if rows:
-                doc, part, share, some, values = zip(*rows)
+            if best:
+                doc, item, cosine, share = zip(*((d, items.ids[int(items.owner[p])], c, s) for (d, p), (s, c) in sorted(best.items())))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id").take(pa.array(doc)), pa.array(part, pa.int64()), pa.array(share, pa.float64()), pa.array(some, pa.binary()), pa.array(values, pa.binary())],
-                    ["id", "part", "share", "words", "weights"])
-
-    return texts.mapInArrow(work, "id bigint, part bigint, share double, words binary, weights binary")
-
+                    [piece.column("id").take(pa.array(doc)), pa.array(item, pa.int64()), pa.array(cosine, pa.float64()), pa.array(share, pa.float64())],
+                    ["id", "item_id", "cosine", "share"])
 
-def _project(words: bytes, weights: bytes, basis: np.ndarray) -> np.ndarray:
-    return np.frombuffer(weights, np.float32) @ basis[np.frombuffer(words, np.int32)]
+    return texts.mapInArrow(work, "id bigint, item_id bigint, cosine double, share double")
 
 
 def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
@@ -316,10 +428,16 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
         total = np.zeros(q.shape, np.float32)
         used = np.zeros(len(q), bool)
         for batch in batches:
-            for words, weights in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                index, value = np.frombuffer(words, np.int32), np.frombuffer(weights, np.float32)
-                total[index] += value[:, None] * (value @ q[index])
-                used[index] = True
+            index, value, bounds = _joined(batch.column(0), batch.column(1), np.float32)
+            filled = np.flatnonzero(np.diff(bounds))
+            if not len(filled):
+                continue
+            points = np.add.reduceat(q[index] * value[:, None], bounds[filled], axis=0)
+            row = np.repeat(np.arange(len(filled)), np.diff(bounds)[filled])
+            order = np.argsort(index, kind="stable")
+            some, first = np.unique(index[order], return_index=True)
+            total[some] += np.add.reduceat(points[row[order]] * value[order, None], first, axis=0)
+            used[some] = True
         blocks = [k for k in range(0, len(q), CHUNK) if used[k: k + CHUNK].any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(blocks, pa.int64()), pa.array([total[k: k + CHUNK].tobytes() for k in blocks], pa.binary())], ["block", "part"])
@@ -354,41 +472,33 @@ def latent_basis(rows: DataFrame, width: int, rank: int = RANK, seed: int = 5) -
 def _matches(texts: DataFrame, items: Items) -> DataFrame | None:
     """(id, item_id, cosine, share) of all confirmed pairs for one block of items."""
     spark = texts.sparkSession
-    kept = [k for k in range(len(items.ids)) if len(items.words[k]) >= LEAST_WORDS]
-    if not kept or not len(items.vocabulary):
+    if not len(items.vocabulary):
         return None
-    counts, blocks = _frequencies(texts, items.vocabulary)
+    passages = stored(_passages(texts, items.vocabulary))
+    counts, blocks = _frequencies(passages, len(items.vocabulary))
     weight = np.log((blocks + 1.0) / (counts + 1.0)).astype(np.float32)
-    usual = counts > max(COMMON * blocks, 1.0)
+    often = counts > max(COMMON * blocks, 1.0)
+    usual = often.copy()
     places = [np.searchsorted(items.vocabulary, p) for p in items.parts]
     for place in places:
         if usual[place].all():  # an item of common words only needs them
             usual[place] = False
     value = np.where(usual, 0, np.maximum(weight, 1e-3)).astype(np.float32)
-    sparse = []
+    vectors = []
     for place in places:
         some, times = np.unique(place, return_counts=True)
-        sparse.append((some.astype(np.int32).tobytes(), (value[some] * (1 + np.log(times))).astype(np.float32).tobytes()))
-    rows = stored(_rows(texts, items, value, counts > max(COMMON * blocks, 1.0)))
-    own = spark.createDataFrame(pd.DataFrame(sparse, columns=["words", "weights"]), "words binary, weights binary")
-    basis = latent_basis(rows.select("words", "weights").unionByName(own), len(items.vocabulary))
-    latent = np.stack([_project(i, v, basis) for i, v in sparse])
+        vectors.append((some.astype(np.int32), (value[some] * (1 + np.log(times))).astype(np.float32)))
+    rows = stored(_weighed(passages, value))
+    # the items have as much say in the directions as the corpus
+    energy = rows.agg(F.coalesce(F.sum("energy"), F.lit(0.0))).first()[0]
+    own = sum(float((v.astype(np.float64) ** 2).sum()) for _, v in vectors)
+    scale = np.float32(np.sqrt(max(energy, 1.0) / max(own, 1e-12)))
+    asked = spark.createDataFrame(pd.DataFrame([(i.tobytes(), (v * scale).tobytes()) for i, v in vectors], columns=["words", "weights"]),
+                                  "words binary, weights binary")
+    basis = latent_basis(rows.select("words", "weights").unionByName(asked), len(items.vocabulary))
+    latent = np.stack([v @ basis[i] for i, v in vectors])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    shared = spark.sparkContext.broadcast((basis, latent, items.owner, items.ids))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, latent, owner, ids = shared.value
-        for batch in batches:
-            out: list[tuple] = []
-            for doc, part, share, words, weights in zip(*(c.to_pylist() for c in batch.columns)):
-                point = _project(words, weights, basis)
-                cosine = float(latent[part] @ point) / max(float(np.linalg.norm(point)), 1e-12)
-                out.append((doc, ids[int(owner[part])], cosine, share))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                                                 ["id", "item_id", "cosine", "share"])
-
-    return rows.select("id", "part", "share", "words", "weights").mapInArrow(work, "id bigint, item_id bigint, cosine double, share double")
+    return _rows(texts, items, Space(value, basis, latent), often)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -149,10 +149,67 @@ def test_leaks_copies_and_paraphrases(spark, docs):
     found = decontamination.leaks(frame, spark.createDataFrame(items, "item_id bigint, text string"))
     got = {(r.id, r.item_id) for r in found.collect()}
     plain = lambda t: " ".join(__import__("re").findall(r"\w+", t.lower()))
-    hosted = {(d, i) for d, t in rows for i, b in items if b and len(b.split()) > 4 and plain(b) in plain(t)}
+    hosted = {(d, i) for d, t in rows for i, b in items if b and f" {plain(b)} " in f" {plain(t)} "}  # also the short one
     assert want <= got and got <= want | hosted
 
 
+def test_leaks_retold(spark, docs):
+    """Items with a share of their words replaced, the answer kept or not, in clean texts."""
+    rng = random.Random(7)
+    bench = pq.read_table(f"{SMALL}/benchmark.parquet").to_pandas()
+    items = list(zip(bench.item_id.tolist(), bench.text.tolist()))
+    plain = lambda t: " ".join(re.findall(r"\w+", t.lower()))
+    clean = [t for t in docs.text if t and len(t.split()) > 150 and not any(plain(b) in plain(t) for _, b in items)]
+    pool = [w for t in clean for w in t.split()]
+    rows, made = [(-1 - k, t) for k, t in enumerate(clean)], {}
+    for replaced in (0.2, 0.35, 0.5):
+        for answered in (True, False):
+            for i, t in items:
+                words = t.split()
+                last = len(re.split(r"(?<=[.!?:])\s+", t.strip())[-1].split()) if answered else 0
+                for j in rng.sample(range(len(words) - last), round(replaced * (len(words) - last))):
+                    words[j] = rng.choice(pool)
+                host = rng.choice(clean).split()
+                cut = rng.randrange(len(host))
+                made[len(made)] = replaced, answered, i
+                rows.append((len(made) - 1, " ".join(host[:cut] + words + host[cut:])))
+    found = decontamination.leaks(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8),
+                                  spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r.id, r.item_id) for r in found.collect()}
+    assert not {d for d, i in got if d < 0 or made[d][2] != i}
+    for replaced, answered, least in ((0.2, True, 0.95), (0.2, False, 0.95), (0.35, True, 0.9), (0.35, False, 0.9), (0.5, True, 0.9)):
+        wanted = {(d, i) for d, (r, a, i) in made.items() if (r, a) == (replaced, answered)}
+        assert len(wanted & got) >= least * len(wanted), (replaced, answered)
+
+
+def test_leaks_short_unspaced_and_other_case(spark):
+    items = [(1, "\u5317\u4eac\u662f\u4e2d\u56fd\u7684\u9996\u90fd\u4e5f\u662f\u5927\u57ce\u5e02\u4e4b\u4e00\u5427\u554a"), (2, "Golden Ratio Forty"),
+             (3, "\u0421\u0442\u043e\u043b\u0438\u0446\u0430 \u0424\u0440\u0430\u043d\u0446\u0438\u0438 \u0433\u043e\u0440\u043e\u0434 \u041f\u0430\u0440\u0438\u0436 \u0438 \u0401\u043b\u043a\u0430"), (4, "single"), (5, "?! ."),
+             (6, "\u0391\u0398\u0397\u039d\u0391 \u03a0\u039f\u039b\u0397 \u0395\u039b\u039b\u0391\u0394\u0391 \u03a3\u0399\u03a4\u039f\u03a3 \u039a\u0391\u0399")]
+    rows = [(1, "\u4ed6\u8bf4" + items[0][1] + "\u4ed6\u4e0d\u77e5\u9053"), (2, "the GOLDEN ratio forty here"), (3, "golden forty ratio"), (4, "so " + items[2][1].upper() + " da"),
+            (5, "a single word"), (6, "Single."), (7, "x " + items[5][1].lower() + " y"), (8, "\u4ed6\u4e0d\u77e5\u9053\u4e2d\u56fd\u5728\u54ea\u91cc"), (9, None), (10, ""), (11, "golden"), (12, "ratio forty")]
+    found = decontamination.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.id, r.item_id) for r in found.collect()} == {(1, 1), (2, 2), (4, 3), (6, 4), (7, 6)}
+
+
+def test_latent_cosines_of_windows():
+    rng = np.random.default_rng(3)
+    value, basis = rng.uniform(0.5, 3, 30).astype(np.float32), np.linalg.qr(rng.standard_normal((30, 8)))[0].astype(np.float32)
+    value[::7] = 0
+    parts = rng.standard_normal((5, 8)).astype(np.float32)
+    parts /= np.linalg.norm(parts, axis=1, keepdims=True)
+    space = decontamination.Space(value, basis, parts)
+    slot, word = np.sort(rng.integers(0, 12, 300)), rng.integers(0, 30, 300)
+    dense = np.zeros((12, 30))
+    np.add.at(dense, (slot, word), 1)
+    dense = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * value @ basis
+    windows = dense[:11] + dense[1:]
+    want = windows @ parts.T / np.linalg.norm(windows, axis=1, keepdims=True)
+    got = space.cosines(space.blocks(slot, word, 12), 2, 11, np.arange(5))
+    assert np.allclose(got, want, atol=1e-4)
+    assert abs(space.cosine(word[slot == 4], 2) - dense[4] @ parts[2] / np.linalg.norm(dense[4])) < 1e-4
+
+
 def test_leaks_of_many_short_items(spark, docs):
     rng = random.Random(4)
     pool = [re.findall(r"\w+", t) for t in docs.text if t and len(t.split()) > 150]
