@@ -66,17 +66,26 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return arrays.span_hashes(data, starts, ends, 31), text
 
 
-def common_run(item: np.ndarray, text: np.ndarray) -> int:
-    """Length of the longest common subsequence, all cells of a row as bits of one number."""
+def _places(item: np.ndarray) -> dict[int, int]:
+    """Every word of the item with the bits of its places."""
     where: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
         where[w] = where.get(w, 0) | 1 << i
-    full = (1 << len(item)) - 1
+    return where
+
+
+def _common(where: dict[int, int], length: int, text: np.ndarray) -> int:
+    full = (1 << length) - 1
     row = full
     for w in text.tolist():
         hit = row & where.get(w, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(item) - row.bit_count()
+    return length - row.bit_count()
+
+
+def common_run(item: np.ndarray, text: np.ndarray) -> int:
+    """Length of the longest common subsequence, all cells of a row as bits of one number."""
+    return _common(_places(item), len(item), text)
 
 
 def _span(length: int) -> int:
@@ -84,15 +93,26 @@ def _span(length: int) -> int:
     return max(4, length * 3 // 2)
 
 
-def best_run(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
-    """Largest share of the item in order within a stretch of 1.5 times its length, and where."""
+def best_run(item: np.ndarray, text: np.ndarray, held: np.ndarray, least: float = 0.0) -> tuple[float, int]:
+    """Largest share of the item in order within a stretch of 1.5 times its length, and where.
+
+    ``held`` marks the words of the text that the item has: no other word lengthens a subsequence, and
+    none is longer than the number of them. Shares below ``least`` count as none.
+    """
     span, step = _span(len(item)), max(1, len(item) // 4)
-    best, at = 0.0, 0
-    for begin in range(0, max(1, len(text) - span + step), step):
-        share = common_run(item, text[begin: begin + span]) / len(item)
-        if share > best:
-            best, at = share, begin
-    return best, at
+    place = np.flatnonzero(held)
+    begins = np.arange(0, max(1, len(text) - span + step), step)
+    low, high = np.searchsorted(place, begins), np.searchsorted(place, begins + span)
+    words = text[place]
+    where: dict[int, int] = {}
+    best, at = 0, 0
+    for k in np.flatnonzero(high - low >= least * len(item)):
+        if high[k] - low[k] > best:
+            where = where or _places(item)
+            run = _common(where, len(item), words[low[k]: high[k]])
+            if run > best:
+                best, at = run, int(begins[k])
+    return best / len(item), at
 
 
 @dataclass
@@ -330,11 +350,11 @@ def _rows(texts: DataFrame, items: Items, space: Space, usual: np.ndarray) -> Da
     """(id, item_id, cosine, share): the best stretch of each text for each part of an item that it holds."""
     shared = texts.sparkSession.sparkContext.broadcast((items, space, *_sought(items, usual), _exact(items)))
 
-    def matched(part: int, hashes: np.ndarray, known: np.ndarray, begin: int, end: int, opening: int, closing: int) -> tuple[float, float] | None:
+    def matched(part: int, own: np.ndarray, hashes: np.ndarray, known: np.ndarray, begin: int, end: int, opening: int, closing: int) -> tuple[float, float] | None:
         """Share and cosine of the part in a window of the text, if it is a match."""
         items, space = shared.value[:2]
         item = items.parts[part]
-        share, at = best_run(item, hashes[opening:closing])
+        share, at = best_run(item, hashes[opening:closing], own[known[opening:closing]], RETOLD)
         at += opening
         if share < RETOLD:
             return None
@@ -405,7 +425,7 @@ def _rows(texts: DataFrame, items: Items, space: Space, usual: np.ndarray) -> Da
                         for j in low + np.flatnonzero(dense):
                             d = int(doc[j])
                             end = int(begin[d + 1])
-                            got = matched(part, hashes, known, int(begin[d]), end, int(opening[j]), min(end, int(opening[j]) + group.wide * STRIDE))
+                            got = matched(part, own, hashes, known, int(begin[d]), end, int(opening[j]), min(end, int(opening[j]) + group.wide * STRIDE))
                             if got and got > best.get((d, part), (0.0, 0.0)):
                                 best[d, part] = got
             if best:

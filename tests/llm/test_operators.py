@@ -128,6 +128,23 @@ def test_bit_parallel_subsequence():
         assert decontamination.common_run(np.array(a), np.array(b)) == subsequence(a, b)
 
 
+def test_best_stretch_equals_a_search_of_all_its_words():
+    rng = random.Random(4)
+    for case in range(300):
+        letters = rng.choice([3, 12, 60])
+        item = np.array([rng.randrange(letters) for _ in range(rng.randrange(1, 40))])
+        text = np.array([rng.randrange(letters * rng.choice([1, 3])) for _ in range(rng.randrange(0, 130))], np.int64)
+        span, step = max(4, len(item) * 3 // 2), max(1, len(item) // 4)
+        runs = [(subsequence(item.tolist(), text[k: k + span].tolist()) / len(item), -k) for k in range(0, max(1, len(text) - span + step), step)]
+        share, at = max(runs)
+        least = rng.choice([0.0, 0.4])
+        got = decontamination.best_run(item, text, np.isin(text, item), least)
+        if share and share >= least:
+            assert got == (share, -at), case
+        else:
+            assert got[0] == 0 or got[0] < least, case
+
+
 def test_leaks_copies_and_paraphrases(spark, docs):
     rng = random.Random(2)
     bench = pq.read_table(f"{SMALL}/benchmark.parquet").to_pandas()
