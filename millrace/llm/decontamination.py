@@ -232,6 +232,23 @@ def _weighed(passages: DataFrame, value: np.ndarray) -> DataFrame:
     return passages.mapInArrow(work, "words binary, weights binary, energy double")
 
 
+def _summed(basis: np.ndarray, word: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Weighted rows of the basis added up over the segments that start at ``first``; none is empty.
+
+    Segments are at most a block long, so the k-th words of all segments are added together.
+    """
+    length = np.diff(first, append=len(word))
+    order = np.argsort(-length, kind="stable")
+    start, falling = first[order], -length[order]
+    total = basis[word[start]] * weight[start, None]
+    for k in range(1, int(-falling[0])):
+        at = start[: np.searchsorted(falling, -k)] + k
+        total[: len(at)] += basis[word[at]] * weight[at, None]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
 @dataclass
 class Sought:
     """Parts whose matches fit into windows of ``wide`` blocks, and how often each holds each word."""
@@ -311,7 +328,7 @@ class Space:
         some, first = np.unique(slot, return_index=True)
         if len(some):
             weight = (self.value[word] * (1 + np.log(times))).astype(np.float32)
-            out[some] = np.add.reduceat(self.basis[word] * weight[:, None], first, axis=0)
+            out[some] = _summed(self.basis, word, weight, first)
         return out
 
     def cosines(self, blocks: np.ndarray, wide: int, windows: int, part: np.ndarray) -> np.ndarray:
@@ -452,7 +469,7 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
             filled = np.flatnonzero(np.diff(bounds))
             if not len(filled):
                 continue
-            points = np.add.reduceat(q[index] * value[:, None], bounds[filled], axis=0)
+            points = _summed(q, index, value, bounds[filled])
             row = np.repeat(np.arange(len(filled)), np.diff(bounds)[filled])
             order = np.argsort(index, kind="stable")
             some, first = np.unique(index[order], return_index=True)

@@ -145,6 +145,18 @@ def test_best_stretch_equals_a_search_of_all_its_words():
             assert got[0] == 0 or got[0] < least, case
 
 
+def test_sums_of_segments():
+    rng = np.random.default_rng(6)
+    basis = rng.standard_normal((50, 7)).astype(np.float32)
+    for size in (1, 2, 40):
+        length = rng.integers(1, 33, size)
+        first = np.cumsum(length) - length
+        word = rng.integers(0, 50, int(length.sum()))
+        weight = rng.random(len(word)).astype(np.float32)
+        plain = np.stack([weight[a: a + n] @ basis[word[a: a + n]] for a, n in zip(first, length)])
+        assert np.allclose(decontamination._summed(basis, word, weight, first), plain, atol=1e-5)
+
+
 def test_leaks_copies_and_paraphrases(spark, docs):
     rng = random.Random(2)
     bench = pq.read_table(f"{SMALL}/benchmark.parquet").to_pandas()
