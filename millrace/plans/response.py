@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators import boosting as B, encoding as E, models as M, selection as X
 from millrace.operators.relational import columns_of
 from millrace.operators.sampling import sample_exact
-from millrace.session import cut_lineage
+from millrace.session import cut_lineage, discard, scratch_table
 
 
 def coded(train: DataFrame, test: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Columns that vary, text as codes over train and test together, gaps as -1."""
-    constant = X.constant_columns(train)
-    train, test = train.drop(*constant), test.drop(*constant)
+    # every step below learns something from the rows, so each reads a stored copy
+    stored = scratch_table(train), scratch_table(test)
+    constant = X.constant_columns(stored[0])
+    train, test = (df.drop(*constant) for df in stored)
     for c in columns_of(train, "string"):
         both = train.select(c, F.col(key).alias("_order"), F.lit(0).alias("_source")).unionByName(
             test.select(c, F.col(key).alias("_order"), F.lit(1).alias("_source")))
@@ -22,7 +24,10 @@ def coded(train: DataFrame, test: DataFrame, key: str) -> tuple[DataFrame, DataF
         levels = E.first_seen_levels(ordered, c, "_order", start=1)
         train, test = (E.encode(df, levels, c, f"_{c}").drop(c).withColumnRenamed(f"_{c}", c)
                        for df in (train, test))
-    return cut_lineage(train.na.fill(-1)), cut_lineage(test.na.fill(-1))
+    train, test = cut_lineage(train.na.fill(-1)), cut_lineage(test.na.fill(-1))
+    for df in stored:
+        discard(df)
+    return train, test
 
 
 def response_scores(train: DataFrame, test: DataFrame, key: str, target: str, validation_rows: int,
