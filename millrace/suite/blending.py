@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ensembling as B
 from millrace.operators import models as M
 from millrace.operators.sampling import stratified_folds
+from millrace.session import scratch_table
 from millrace.suite.joining import RUNS, prediction_runs
 from millrace.suite.learning import SEED, matrix, parts
 from millrace.suite.registry import Tables, query
@@ -57,7 +58,7 @@ def stacked_generalization(t: Tables):
 
 @query("choose_single_or_blend")
 def choose_single_or_blend(t: Tables):
-    rows = matrix(t)
+    rows = scratch_table(matrix(t))  # read by every fit and score
     train, rest = parts(rows)
     folded = stratified_folds(train, "o_orderkey", "label", 2, SEED)
     single = M.logistic(iterations=5).fit(train)
