@@ -5,7 +5,8 @@ far its rows are from the pivot at most. A query first looks into the cell of it
 k-th row there bounds what can still be found elsewhere: by the triangle inequality only cells whose border is
 nearer than that bound can hold a nearer row. The query is joined to those cells alone. Cells are cut into parts of bounded
 size, and the queries of a part into blocks, so no task sees more than ``PART`` rows with ``QUERIES`` queries at a time, and
-queries never come to the driver. Pivots are at most ``PIVOTS`` vectors.
+queries never come to the driver. Pivots are at most ``PIVOTS`` vectors. A task holds about ``CELLS`` distances or copied
+numbers at once, however many cells a query has to look into and however many rows are equally near.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ PIVOTS = 256
 PIVOT_BYTES = 8 << 20
 PART = 20_000
 QUERIES = 5_000
+CELLS = 2_000_000
+"""Distances, or numbers of copied vectors, that a task holds at once."""
 SLACK = 1e-9
 """Relative rounding error of distances that a bound allows for."""
 
@@ -44,10 +47,23 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.maximum(squares - 2 * a @ b.T, 0)
     i, j = np.nonzero(out < 1e-6 * squares)
     if len(i):
-        out[i, j] = ((a[i] - b[j]) ** 2).sum(axis=1)
+        out[i, j] = _squares(a, i, b, j)
     return np.sqrt(out)
 
 
+def _squares(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Squared distances of the pairs (a[i], b[j]), some pairs at a time."""
+    step = max(1, CELLS // max(a.shape[1], 1))
+    return np.concatenate([((a[i[s: s + step]] - b[j[s: s + step]]) ** 2).sum(axis=1) for s in range(0, len(i), step)] or [np.zeros(0)])
+
+
+def _slices(batch: pa.RecordBatch, columns: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces that have at most about ``CELLS`` distances to ``columns`` vectors."""
+    step = max(1, CELLS // max(columns, 1))
+    for begin in range(0, batch.num_rows, step):
+        yield batch.slice(begin, step)
+
+
 def find_pivots(vectors: DataFrame, key: str, vector: str, width: int, count: int) -> np.ndarray:
     """``count`` distinct training vectors, in the order of a hash of their keys."""
     most = max(1, min(count, PIVOTS, PIVOT_BYTES // (8 * width)))
@@ -63,8 +79,8 @@ def _with_cells(df: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
     schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("far", T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in _slices(whole, len(shared.value)):
                 d = distances(_matrix(batch.column("v"), width), shared.value)
                 cell = d.argmin(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell])], [*names, "cell", "far"])
@@ -102,22 +118,22 @@ def _searched(train: DataFrame, pairs: DataFrame, parts: dict[int, int], k: int,
         names, picked, found = [], [], []
         vectors = _matrix(queries.column("v").combine_chunks(), width)
         bound = queries.column("bound").to_numpy()
-        for begin in range(0, len(vectors), 512):
-            d = distances(vectors[begin: begin + 512], points)
-            limit = bound[begin: begin + 512]
+        step = max(1, CELLS // max(len(points), 1))
+        for begin in range(0, len(vectors), step):
+            d = distances(vectors[begin: begin + step], points)
+            limit = bound[begin: begin + step]
             best = np.sort(np.partition(d, k - 1, axis=1)[:, :k], axis=1)[:, -1] if d.shape[1] > k else np.full(len(d), np.inf)
             # rows that are as near as the k-th but for rounding stay; their distances are then taken again, pair by pair
             q, p = np.nonzero(d <= np.minimum(best * (1 + SLACK) + SLACK, limit)[:, None])
-            names.append(begin + q)
-            picked.append(p)
-            found.append(np.sqrt(((vectors[begin + q] - points[p]) ** 2).sum(axis=1)))
+            away = np.sqrt(_squares(vectors, begin + q, points, p))
+            order = np.lexsort((p, away, q))
+            q, p, away = q[order], p[order], away[order]
+            keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < k  # any number of rows may be equally near
+            names.append(begin + q[keep])
+            picked.append(p[keep])
+            found.append(away[keep])
         names, picked, found = np.concatenate(names), np.concatenate(picked), np.concatenate(found)
-        order = np.lexsort((picked, found, names))
-        names, picked, found = names[order], picked[order], found[order]
-        first = np.searchsorted(names, names, "left")
-        keep = np.arange(len(names)) - first < k
-        names, picked = names[keep], picked[keep]
-        return pa.table({"query": queries.column("query").take(names), "distance": pa.array(found[keep]),
+        return pa.table({"query": queries.column("query").take(names), "distance": pa.array(found),
                          "neighbour": rows.column("neighbour").take(picked), "carry": rows.column("carry").take(picked)})
 
     return left.groupBy("cell", "part", "block").cogroup(right.groupBy("cell", "part", "block")).applyInArrow(work, schema)
@@ -164,16 +180,17 @@ def pivot_search(train: DataFrame, queries: DataFrame, key: str, vector: str, ca
     shared = train.sparkSession.sparkContext.broadcast(middle)
 
     def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (piece for whole in batches for piece in _slices(whole, len(sizes))):
             d = distances(_matrix(batch.column("v"), width), shared.value)
             bound = batch.column("bound").to_numpy()
             open_ = (d - radius[None, :] <= bound[:, None] + SLACK * (1 + d)) & (sizes > 0)[None, :]
             open_[np.arange(len(d)), batch.column("cell").to_numpy()] = False  # searched already
-            q, c = np.nonzero(open_)
-            yield pa.RecordBatch.from_arrays([batch.column("query").take(pa.array(q)), batch.column("v").take(pa.array(q)), pa.array(c, pa.int32()),
-                                              pa.array(bound[q])], ["query", "v", "cell", "bound"])
+            every, cells_of = np.nonzero(open_)
+            step = max(1, CELLS // max(width, 1))
+            for begin in range(0, len(every), step):
+                q, c = every[begin: begin + step], cells_of[begin: begin + step]
+                yield pa.RecordBatch.from_arrays([batch.column("query").take(pa.array(q)), batch.column("v").take(pa.array(q)), pa.array(c, pa.int32()),
+                                                  pa.array(bound[q])], ["query", "v", "cell", "bound"])
 
     kind = asked.schema["query"].dataType.simpleString()
     bounded = asked.join(reach, "query", "left").select("query", "v", "cell", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))

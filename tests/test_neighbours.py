@@ -78,3 +78,25 @@ def test_queries_stay_on_the_executors(spark, monkeypatch):
     monkeypatch.setattr(type(q), "collect", lambda self: seen.append(len(rows := collect(self))) or rows)
     N.pivot_search(t, q, "id", "v", "c", 3, 3, pivots=8)
     assert seen and max(seen) <= 32
+
+
+def test_copies_do_not_fill_memory():
+    """Pairs of copies are compared again some at a time, not with all their vectors copied at once."""
+    import tracemalloc
+
+    copies = np.tile(np.arange(64.0), (1_000, 1))
+    tracemalloc.start()
+    assert N.distances(copies, copies).max() == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_same_with_few_distances_at_once(spark, monkeypatch):
+    """Batches, blocks and open cells are worked on in slices; copies make more ties than a slice has places."""
+    monkeypatch.setattr(N, "CELLS", 60)
+    draw = np.random.default_rng(4)
+    train, queries = np.repeat(draw.normal(size=(100, 6)), 8, axis=0), draw.normal(size=(50, 6))
+    t, q = frames(spark, train, queries)
+    found, counts = N.pivot_search(t, q, "id", "v", "c", 5, 6, pivots=20)
+    assert got(found) == plain(train, queries, 5) and counts["compared"] > 0.5 * counts["pairs"]
