@@ -277,6 +277,58 @@ def test_leaks_edges(spark, edges, none):
     assert decontamination.clean(edges, bench.where("false")).count() == len(EDGES)
 
 
+def test_stretches_of_many_texts_equal_single_subsequences():
+    rng = random.Random(9)
+    found, want = decontamination.Stretches(), []
+    for length in (1, 5, 40, 64, 64):
+        item = np.array([rng.randrange(12) for _ in range(length)])
+        texts = [np.array([rng.randrange(18) for _ in range(rng.randrange(1, 129))]) for _ in range(40)]
+        words, bits = decontamination._bits(item)
+        marks = np.zeros((len(texts), 128), np.uint64)
+        for row, text in zip(marks, texts):
+            held = np.flatnonzero(np.isin(text, item))
+            row[held] = bits[np.searchsorted(words, text[held])]
+        found.add(marks, np.array([len(t) for t in texts]), length, 0.4)
+        span, step, own = max(4, length * 3 // 2), max(1, length // 4), []
+        for k, text in enumerate(texts):
+            begins = range(0, max(1, len(text) - span + step), step)
+            share, at = max((subsequence(item.tolist(), text[b: b + span].tolist()) / length, -b) for b in begins)
+            if share >= 0.4:
+                own.append((k, share, -at))
+        want.append(own)
+    got = [[(int(k), float(s), int(b)) for k, s, b in zip(*of) if s >= 0.4] for of in found.best()]
+    assert got == want and sum(map(len, want)) > 40
+
+
+def test_numbers_of_words():
+    rng = np.random.default_rng(8)
+    for size in (1, 3, 5000):
+        known = np.unique(arrays.factors(size, 5))
+        hashes = rng.permutation(np.concatenate([np.repeat(known, 2), arrays.factors(300, 6)]))
+        hit, place = decontamination.Lookup(known)(hashes)
+        assert sorted(hit.tolist()) == np.flatnonzero(np.isin(hashes, known)).tolist() and (known[place] == hashes[hit]).all()
+    # the last sentence begins within a word of the item
+    items = decontamination._items([1], ["\u6211\u4eec\u53bb\u5427\uff01alpha beta gamma delta"])
+    assert len(items.extra) == 1
+    numbers = items.numbers(decontamination.tokens(pa.array(["alpha beta other"]))[0], items.lookups())
+    assert numbers[0] == len(items.vocabulary) and numbers[1] < numbers[0] and numbers[2] == items.unknown
+
+
+def test_texts_are_cut_into_words_once(spark, docs):
+    bench = pq.read_table(f"{SMALL}/benchmark.parquet").to_pandas()
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        seen.add(1)
+        return text
+
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(docs.text[:50].tolist() + [bench.text[0]])], "doc_id bigint, text string")
+    frame = rows.withColumn("text", F.udf(read, "string")("text"))
+    found = decontamination.leaks(frame, spark.createDataFrame(list(zip(bench.item_id.tolist(), bench.text.tolist())), "item_id bigint, text string"))
+    assert (50, int(bench.item_id[0])) in {(r.id, r.item_id) for r in found.collect()}
+    assert seen.value == 51
+
+
 def test_latent_basis_spans_the_leading_directions(spark):
     rng = np.random.default_rng(0)
     a = rng.standard_normal((200, 6)) @ rng.standard_normal((6, 40)) + 0.01 * rng.standard_normal((200, 40))
